@@ -34,7 +34,7 @@ def _fenced(column: Column) -> Column:
     from, with all of those expressions repeated inside it. A step with a non-deterministic
     part stays where it is.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, column)
+    return F.when(F.spark_partition_id() >= 0, column)
 
 
 def verify_signature(raw: DataFrame, secret: bytes) -> DataFrame:
