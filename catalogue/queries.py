@@ -205,22 +205,17 @@ def stream_ingest(spark, sf_dir):
 
 
 def _parsed_contents(spark, sf_dir) -> DataFrame:
-    """Every payload of the sample as (event_id, event_type, old and new contents)."""
-    seal = F.lit("end")
+    """Every payload of the sample as (event_id, event_type, old and new status lists)."""
+    payload = F.col("payload")
     return (
         sample.content_events(spark, sf_dir)
-        .select("event_id", P.parse_sealed(F.col("raw_payload"), seal).alias("parsed"))
-        .select("event_id", P.envelope_of(F.col("parsed")).alias("envelope"))
+        .select("event_id", P.parse_sealed(F.col("raw_payload"), F.lit("end")).alias("parsed"))
+        .select("event_id", P.payload_of(F.col("parsed")).alias("payload"))
         .select(
             "event_id",
-            P.text_of(F.col("envelope.type")).alias("event_type"),
-            P.contents_of(F.col("envelope")).alias("contents"),
-        )
-        .select(
-            "event_id",
-            "event_type",
-            P.status_list(F.col("contents.old")).alias("old_statuses"),
-            P.status_list(F.col("contents.new")).alias("new_statuses"),
+            payload["type"].cast("string").alias("event_type"),
+            P.status_list(payload["contents"]["old"]["status"]).alias("old_statuses"),
+            P.status_list(payload["contents"]["new"]["status"]).alias("new_statuses"),
         )
     )
 
@@ -260,7 +255,9 @@ def _spelling(position: int) -> Column:
         7: (F.concat(F.lit('"'), F.date_format(ts, "yyyy-MM-dd"), F.lit('"')), other),
         8: (text(23.25, "+23:15"), other),
     }[position]
-    return F.concat(F.lit('{"updatedAt":'), first, F.lit(',"updated_at":'), second, F.lit("}"))
+    return F.concat(
+        F.lit('{"contents":{"new":{"updatedAt":'), first, F.lit(',"updated_at":'), second, F.lit("}}}")
+    )
 
 
 def payload_timestamps(spark, sf_dir):
@@ -268,8 +265,9 @@ def payload_timestamps(spark, sf_dir):
     spelled = F.element_at(F.array(*[_spelling(position) for position in range(9)]), F.col("row"))
     return (
         events.withColumn("row", (F.pmod("event_id", F.lit(9)) + 1).cast("int"))
-        .select("event_id", F.try_parse_json(spelled).alias("content"))
-        .select("event_id", P.updated_at_text(F.col("content")).alias("text"))
+        .select("event_id", P.parse_sealed(spelled, F.lit("end")).alias("parsed"))
+        .select("event_id", P.payload_of(F.col("parsed")).alias("payload"))
+        .select("event_id", P.updated_at_text(F.col("payload.contents.new")).alias("text"))
         .select("event_id", rfc3339_timestamp(F.col("text")).alias("updated_at"))
     )
 
@@ -302,7 +300,11 @@ def jst_day_bounds(spark, sf_dir):
 
 
 def _report(metric: Callable[..., DataFrame], span: TimeRange, *args, **kwargs) -> Query:
-    return lambda spark, sf_dir: metric(_events(spark, sf_dir), span, *args, **kwargs)
+    def report(spark, sf_dir):
+        events = sample.content_events(spark, sf_dir, with_payload=False)
+        return metric(events, span, *args, **kwargs)
+
+    return report
 
 
 def _view(view: Callable[[DataFrame], DataFrame], report: Query) -> Query:

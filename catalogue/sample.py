@@ -6,7 +6,7 @@ any SQL engine derives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slugline.functions.days import business_day
 from slugline.functions.signature import hmac_sha256_hex
@@ -38,116 +38,104 @@ TRANSITIONS = (
 )
 
 
-def _pick(position: Column, values) -> Column:
-    return F.get(F.array(*[F.lit(value) for value in values]), position.cast("int"))
+def _listed(values) -> str:
+    return "array(" + ", ".join("NULL" if value is None else f"'{value}'" for value in values) + ")"
 
 
-def _earlier(instant: Column, factor: int, modulus: int) -> Column:
-    seconds = F.pmod(F.col("event_id") * factor, F.lit(modulus))
-    return instant - F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+def _transition(part: int) -> str:
+    return f"get({_listed(row[part] for row in TRANSITIONS)}, CAST(event_id % {len(TRANSITIONS)} AS INT))"
 
 
-def content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Content events, with `event_id` kept for checks; `raw_payload` is the body of 5.4."""
-    supplied = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "props")
-    row = F.pmod("event_id", F.lit(len(TRANSITIONS)))
-    at = F.col("received_at")
-    new = F.col("new_status")
-    drafted = new.isin("DRAFT", "DRAFT,PUBLISH")
-    published = new.isin("PUBLISH", "DRAFT,PUBLISH")
+def _earlier(factor: int, modulus: int) -> str:
+    return f"received_at - make_dt_interval(0, 0, 0, event_id * {factor} % {modulus})"
+
+
+def content_events(spark: SparkSession, sf_dir: str, *, with_payload: bool = True) -> DataFrame:
+    """Content events, with `event_id` kept for checks; `raw_payload` is the body of 5.4.
+
+    Written as SQL text: the sample is set-up for every query, and one expression string costs
+    one call into the JVM where a tree of columns costs one per node.
+    """
+    supplied = spark.read.parquet(f"{sf_dir}/events.parquet")
     events = (
-        supplied.withColumns(
-            {
-                "received_at": F.col("ts").cast("timestamp"),
-                "service": F.concat(F.lit("svc-"), F.pmod("user_id", F.lit(3)).cast("string")),
-                "api": F.when(F.pmod("event_id", F.lit(101)) != 0, _pick(F.pmod("user_id", F.lit(5)), APIS)),
-                "content_id": F.when(
-                    F.pmod("event_id", F.lit(13)) != 0, F.concat(F.lit("c-"), F.col("user_id").cast("string"))
-                ),
-                "event_type": _pick(row, [t[0] for t in TRANSITIONS]),
-                "old_status": _pick(row, [t[1] for t in TRANSITIONS]),
-                "new_status": _pick(row, [t[2] for t in TRANSITIONS]),
-                "event_kind": _pick(row, [t[3] for t in TRANSITIONS]),
-            }
+        supplied.selectExpr(
+            "event_id",
+            "CAST(ts AS TIMESTAMP) AS received_at",
+            "props",
+            "concat('svc-', user_id % 3) AS service",
+            f"CASE WHEN event_id % 101 <> 0 THEN get({_listed(APIS)}, CAST(user_id % 5 AS INT)) END AS api",
+            "CASE WHEN event_id % 13 <> 0 THEN concat('c-', user_id) END AS content_id",
+            f"{_transition(0)} AS event_type",
+            f"{_transition(1)} AS old_status",
+            f"{_transition(2)} AS new_status",
+            f"{_transition(3)} AS event_kind",
         )
-        .withColumns(
-            {
-                "dt": business_day(at),
-                "draft_created_at": F.when(drafted, _earlier(at, 7919, 864_000)),
-                "content_created_at": F.when(published, _earlier(at, 7919, 1_209_600)),
-                "content_published_at": F.when(published, _earlier(at, 104_729, 172_800)),
-                "old_updated_at": F.when(
-                    F.col("old_status").isNotNull(), at - F.make_dt_interval(days=F.lit(1))
-                ),
-                "new_updated_at": F.when(new.isNotNull(), at),
-            }
+        .selectExpr(
+            "*",
+            "CASE WHEN old_status IS NOT NULL THEN received_at - INTERVAL 1 DAY END AS old_updated_at",
+            "CASE WHEN new_status IS NOT NULL THEN received_at END AS new_updated_at",
+            "new_status IN ('DRAFT', 'DRAFT,PUBLISH') AS drafted",
+            "new_status IN ('PUBLISH', 'DRAFT,PUBLISH') AS published",
         )
+        .selectExpr(
+            "*",
+            f"CASE WHEN drafted THEN {_earlier(7919, 864_000)} END AS draft_created_at",
+            f"CASE WHEN published THEN {_earlier(7919, 1_209_600)} END AS content_created_at",
+            f"CASE WHEN published THEN {_earlier(104_729, 172_800)} END AS content_published_at",
+        )
+        .withColumn("dt", business_day(F.col("received_at")))
     )
-    return events.withColumn("raw_payload", payload_text()).select("event_id", *EVENT_COLUMNS)
+    payload = _payload_text() if with_payload else "''"
+    return events.selectExpr("*", f"{payload} AS raw_payload").select("event_id", *EVENT_COLUMNS)
 
 
-def _quoted(value: Column) -> Column:
+def _quoted(value: str) -> str:
     """A JSON string, or null."""
-    return F.coalesce(F.concat(F.lit('"'), value, F.lit('"')), F.lit("null"))
+    return f"coalesce(concat('\"', {value}, '\"'), 'null')"
 
 
-def _stamp(instant: Column) -> Column:
-    return _quoted(F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+def _stamp(instant: str) -> str:
+    return _quoted(f"date_format({instant}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")")
 
 
-def _status_json(csv: Column) -> Column:
+def _status(csv: str) -> str:
     """A bare string for even ids with one status, else an array in reverse with a repeat."""
-    backwards = F.reverse(F.split(csv, ","))
-    listed = F.concat(backwards, F.slice(backwards, 1, 1))
-    as_array = F.concat(F.lit('["'), F.array_join(listed, '","'), F.lit('"]'))
-    bare = (F.pmod("event_id", F.lit(2)) == 0) & ~csv.contains(",")
-    return F.when(bare, _quoted(csv)).otherwise(as_array)
+    backwards = f"reverse(split({csv}, ','))"
+    return f"""CASE WHEN event_id % 2 = 0 AND NOT contains({csv}, ',') THEN {_quoted(csv)}
+        ELSE concat('["', array_join(concat({backwards}, slice({backwards}, 1, 1)), '","'), '"]') END"""
+
+
+def _json(fields: dict[str, str]) -> str:
+    """A JSON object out of key and value expressions."""
+    pairs = ", ',', ".join(f"'\"{key}\":', {value}" for key, value in fields.items())
+    return f"concat('{{', {pairs}, '}}')"
 
 
-def payload_text() -> Column:
+def _payload_text() -> str:
     """The JSON body of an event."""
-    published = F.concat(
-        F.lit('{"createdAt":'),
-        _stamp(F.col("content_created_at")),
-        F.lit(',"publishedAt":'),
-        _stamp(F.col("content_published_at")),
-        F.lit("}"),
+    published = _json(
+        {"createdAt": _stamp("content_created_at"), "publishedAt": _stamp("content_published_at")}
     )
-    drafted = F.concat(F.lit('{"createdAt":'), _stamp(F.col("draft_created_at")), F.lit("}"))
-    old = F.concat(
-        F.lit('{"status":'),
-        _status_json(F.col("old_status")),
-        F.lit(',"updatedAt":'),
-        _stamp(F.col("old_updated_at")),
-        F.lit("}"),
+    drafted = _json({"createdAt": _stamp("draft_created_at")})
+    old = _json({"status": _status("old_status"), "updatedAt": _stamp("old_updated_at")})
+    new = _json(
+        {
+            "status": _status("new_status"),
+            "updatedAt": _stamp("new_updated_at"),
+            "publishValue": f"CASE WHEN published THEN {published} ELSE 'null' END",
+            "draftValue": f"CASE WHEN drafted THEN {drafted} ELSE 'null' END",
+            "fields": "props",
+        }
     )
-    new = F.concat(
-        F.lit('{"status":'),
-        _status_json(F.col("new_status")),
-        F.lit(',"updatedAt":'),
-        _stamp(F.col("new_updated_at")),
-        F.lit(',"publishValue":'),
-        F.when(F.col("content_published_at").isNotNull(), published).otherwise("null"),
-        F.lit(',"draftValue":'),
-        F.when(F.col("draft_created_at").isNotNull(), drafted).otherwise("null"),
-        F.lit(',"fields":'),
-        F.col("props"),
-        F.lit("}"),
-    )
-    return F.concat(
-        F.lit('{"service":'),
-        _quoted(F.col("service")),
-        F.lit(',"api":'),
-        _quoted(F.col("api")),
-        F.lit(',"id":'),
-        _quoted(F.col("content_id")),
-        F.lit(',"type":'),
-        _quoted(F.col("event_type")),
-        F.lit(',"contents":{"old":'),
-        F.coalesce(old, F.lit("null")),
-        F.lit(',"new":'),
-        F.coalesce(new, F.lit("null")),
-        F.lit("}}"),
+    contents = _json({"old": f"coalesce({old}, 'null')", "new": f"coalesce({new}, 'null')"})
+    return _json(
+        {
+            "service": _quoted("service"),
+            "api": _quoted("api"),
+            "id": _quoted("content_id"),
+            "type": _quoted("event_type"),
+            "contents": contents,
+        }
     )
 
 
@@ -157,35 +145,23 @@ NO_SIGNATURE, WRONG_KEY, BAD_UTF8, CUT_SHORT, NUMERIC_SERVICE = 29, 19, 31, 23,
 
 def webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as signed webhook deliveries, some of them faulty; `event_id` is kept."""
-
-    def planted(divisor: int) -> Column:
-        return F.pmod("event_id", F.lit(divisor)) == 0
-
-    text = F.col("raw_payload")
-    signed_otherwise = planted(NO_SIGNATURE) | planted(WRONG_KEY)
-    damaged = (
-        F.when(signed_otherwise, text.cast("binary"))
-        .when(planted(BAD_UTF8), F.concat(text.cast("binary"), F.lit(bytearray(b"\xff"))))
-        .when(planted(CUT_SHORT), F.left(text, F.length(text) - 1).cast("binary"))
-        .when(
-            planted(NUMERIC_SERVICE),
-            F.concat(F.lit('{"service":5'), F.substr(text, F.instr(text, ',"api":'))).cast("binary"),
-        )
-        .otherwise(text.cast("binary"))
-    )
-    key = F.when(planted(WRONG_KEY), hmac_sha256_hex(F.col("body"), OTHER_SECRET)).otherwise(
-        hmac_sha256_hex(F.col("body"), SECRET)
-    )
-    encoding = F.pmod("event_id", F.lit(3))
-    header = (
-        F.when(encoding == 0, F.col("digest"))
-        .when(encoding == 1, F.base64(F.unhex("digest")))
-        .otherwise(F.concat(F.lit("sha256="), F.col("digest")))
-    )
+    damaged = f"""CASE
+        WHEN event_id % {NO_SIGNATURE} = 0 OR event_id % {WRONG_KEY} = 0 THEN CAST(raw_payload AS BINARY)
+        WHEN event_id % {BAD_UTF8} = 0 THEN concat(CAST(raw_payload AS BINARY), X'FF')
+        WHEN event_id % {CUT_SHORT} = 0
+            THEN CAST(left(raw_payload, length(raw_payload) - 1) AS BINARY)
+        WHEN event_id % {NUMERIC_SERVICE} = 0
+            THEN CAST(concat('{{"service":5', substr(raw_payload, instr(raw_payload, ',"api":'))) AS BINARY)
+        ELSE CAST(raw_payload AS BINARY) END"""
+    digest = F.when(F.expr(f"event_id % {WRONG_KEY} = 0"), hmac_sha256_hex(F.col("body"), OTHER_SECRET))
+    signature = f"""CASE
+        WHEN event_id % {NO_SIGNATURE} = 0 THEN NULL
+        WHEN event_id % 3 = 0 THEN digest
+        WHEN event_id % 3 = 1 THEN base64(unhex(digest))
+        ELSE concat('sha256=', digest) END"""
     return (
         content_events(spark, sf_dir)
-        .select("event_id", "received_at", damaged.alias("body"))
-        .withColumn("digest", key)
-        .withColumn("signature", F.when(~planted(NO_SIGNATURE), header))
-        .select("event_id", "body", "signature", "received_at")
+        .selectExpr("event_id", f"{damaged} AS body", "received_at")
+        .withColumn("digest", digest.otherwise(hmac_sha256_hex(F.col("body"), SECRET)))
+        .selectExpr("event_id", "body", f"{signature} AS signature", "received_at")
     )

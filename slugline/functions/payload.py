@@ -1,9 +1,21 @@
-"""Reading a webhook body: strict JSON into a VARIANT, then typed pieces of it."""
+"""Reading a webhook body: strict JSON into a VARIANT, then one typed projection of it."""
 
 from pyspark.sql import Column, functions as F
 
-_ENVELOPE = "struct<service:variant,api:variant,id:variant,type:variant,contents:variant>"
-_CONTENTS = "struct<old:variant,new:variant>"
+# The parts of a payload that are read, in one cast. A key that is missing or of another type
+# comes out NULL by itself. Texts are asked for as BINARY because that is the one target a JSON
+# string converts to and a number, boolean, array or object does not.
+_TIMES = "updatedAt: binary, updated_at: binary"
+_OLD = f"struct<status: variant, {_TIMES}>"
+_NEW = (
+    f"struct<status: variant, {_TIMES}, draftValue: struct<createdAt: binary>,"
+    " publishValue: struct<createdAt: binary, publishedAt: binary>>"
+)
+PAYLOAD = (
+    "struct<service: binary, api: binary, id: binary, type: binary,"
+    f" contents: struct<old: {_OLD}, new: {_NEW}>>"
+)
+ENVELOPE_FIELDS = ("service", "api", "id", "type", "contents")
 
 
 def parse_sealed(text: Column, seal: Column) -> Column:
@@ -21,54 +33,36 @@ def sealed_by(parsed: Column, seal: Column) -> Column:
     return F.try_variant_get(parsed, "$[1]", "string") == seal
 
 
-def envelope_of(parsed: Column) -> Column:
-    """The five envelope fields, each still a variant; NULL if the document is no object."""
-    return F.try_variant_get(parsed, "$[0]", _ENVELOPE)
+def payload_of(parsed: Column) -> Column:
+    """The typed parts of a sealed document; NULL if it is no object."""
+    return F.try_variant_get(parsed, "$[0]", PAYLOAD)
 
 
-def contents_of(envelope: Column) -> Column:
-    """`contents` as (old, new) variants; NULL if it is no object."""
-    return F.try_variant_get(envelope["contents"], "$", _CONTENTS)
+def has_envelope_types(parsed: Column, payload: Column) -> Column:
+    """Whether every envelope field is of its type, JSON null or missing.
 
-
-def is_absent(value: Column) -> Column:
-    """Missing from its object, or JSON null."""
-    return value.isNull() | F.is_variant_null(value)
-
-
-def is_text(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
-
-
-def text_of(value: Column) -> Column:
-    """The string a variant holds; NULL for any other type, with no conversion."""
-    return F.when(is_text(value), F.try_variant_get(value, "$", "string"))
-
-
-def text_at(value: Column, path: str) -> Column:
-    return text_of(F.try_variant_get(value, path, "variant"))
-
-
-def has_envelope_types(envelope: Column, contents: Column) -> Column:
-    """Whether the fields that are present have the types a webhook may give them."""
-    checks = [is_absent(envelope["contents"]) | contents.isNotNull()]
-    checks += [is_absent(envelope[key]) | is_text(envelope[key]) for key in ("service", "api", "id", "type")]
-    valid = envelope.isNotNull()
-    for check in checks:
-        valid = valid & check
-    return F.coalesce(valid, F.lit(False))
+    A part that came out typed needs no second look; only one that did not is looked up again,
+    to tell a missing value from one of a wrong type.
+    """
+    valid = payload.isNotNull()
+    for name in ENVELOPE_FIELDS:
+        value = F.try_variant_get(parsed, f"$[0].{name}", "variant")
+        absent = value.isNull() | F.is_variant_null(value)
+        valid = valid & F.when(payload[name].isNotNull(), True).otherwise(absent)
+    return valid
 
 
-def status_list(content: Column) -> Column:
-    """`status` as a sorted list without repeats: a string, or the strings of an array.
+def status_list(status: Column) -> Column:
+    """A status as a sorted list without repeats: a string, or the strings of an array.
 
-    NULL where there is neither.
+    NULL where it is neither.
     """
-    status = F.try_variant_get(content, "$.status", "variant")
-    elements = F.try_variant_get(status, "$", "array<variant>")
-    texts = F.transform(F.filter(elements, is_text), lambda item: F.try_variant_get(item, "$", "string"))
-    listed = F.when(is_text(status), F.array(F.try_variant_get(status, "$", "string"))).otherwise(texts)
-    return F.sort_array(F.array_distinct(listed))
+    single = F.try_variant_get(status, "$", "binary")
+    listed = F.coalesce(
+        F.try_variant_get(status, "$", "array<binary>"), F.when(single.isNotNull(), F.array(single))
+    )
+    nothing = F.array(F.lit(None).cast("string"))
+    return F.sort_array(F.array_except(listed.cast("array<string>"), nothing))
 
 
 def status_csv(statuses: Column) -> Column:
@@ -77,4 +71,4 @@ def status_csv(statuses: Column) -> Column:
 
 def updated_at_text(content: Column) -> Column:
     """The first of two spellings that holds a string."""
-    return F.coalesce(text_at(content, "$.updatedAt"), text_at(content, "$.updated_at"))
+    return F.coalesce(content["updatedAt"], content["updated_at"]).cast("string")

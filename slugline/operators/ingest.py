@@ -62,14 +62,13 @@ def _parse(raw: DataFrame, secret: bytes) -> DataFrame:
             }
         )
         .withColumn("_parsed", P.parse_sealed(F.col("_text"), F.col("_digest")))
-        .withColumn("_envelope", P.envelope_of(F.col("_parsed")))
-        .withColumn("_contents", P.contents_of(F.col("_envelope")))
+        .withColumn("_payload", P.payload_of(F.col("_parsed")))
     )
 
 
 def _reject_reason() -> Column:
     well_formed = P.sealed_by(F.col("_parsed"), F.col("_digest")) & P.has_envelope_types(
-        F.col("_envelope"), F.col("_contents")
+        F.col("_parsed"), F.col("_payload")
     )
     return (
         F.when(F.col("_header").isNull(), MISSING_SIGNATURE)
@@ -79,34 +78,17 @@ def _reject_reason() -> Column:
     )
 
 
-def _event_fields(envelope: Column, contents: Column) -> dict[str, Column]:
-    """Text, status lists and timestamp texts of an event, out of its variants."""
-    old, new = contents["old"], contents["new"]
+def _time_texts(payload: Column) -> dict[str, Column]:
+    new = payload["contents"]["new"]
     return {
-        "service": P.text_of(envelope["service"]),
-        "api": P.text_of(envelope["api"]),
-        "content_id": P.text_of(envelope["id"]),
-        "event_type": P.text_of(envelope["type"]),
-        "old_statuses": P.status_list(old),
-        "new_statuses": P.status_list(new),
-        "old_updated_at": P.updated_at_text(old),
+        "old_updated_at": P.updated_at_text(payload["contents"]["old"]),
         "new_updated_at": P.updated_at_text(new),
-        "draft_created_at": P.text_at(new, "$.draftValue.createdAt"),
-        "content_created_at": P.text_at(new, "$.publishValue.createdAt"),
-        "content_published_at": P.text_at(new, "$.publishValue.publishedAt"),
+        "draft_created_at": new["draftValue"]["createdAt"].cast("string"),
+        "content_created_at": new["publishValue"]["createdAt"].cast("string"),
+        "content_published_at": new["publishValue"]["publishedAt"].cast("string"),
     }
 
 
-_PLAIN_FIELDS = ("service", "api", "content_id", "event_type")
-_TIME_FIELDS = (
-    "old_updated_at",
-    "new_updated_at",
-    "draft_created_at",
-    "content_created_at",
-    "content_published_at",
-)
-
-
 def classify_deliveries(raw: DataFrame, secret: bytes) -> DataFrame:
     """Every raw record with the event it holds and, if it is turned away, why.
 
@@ -115,27 +97,39 @@ def classify_deliveries(raw: DataFrame, secret: bytes) -> DataFrame:
     its text in `raw_payload` instead. No record can fail the job.
     """
     accepted = F.col("reject_reason").isNull()
-    fields = _event_fields(F.col("_envelope"), F.col("_contents"))
+    payload = F.col("_payload")
+    times = _time_texts(payload)
     reasons = F.create_map(*[F.lit(value) for pair in REASON_CLASS.items() for value in pair])
-    event = {name: F.col(f"_{name}") for name in _PLAIN_FIELDS}
-    event |= {name: rfc3339_timestamp(F.col(f"_{name}")) for name in _TIME_FIELDS}
-    event |= {
-        "event_kind": event_kind(F.col("_event_type"), F.col("_old_statuses"), F.col("_new_statuses")),
+    judged = (
+        _parse(raw, secret)
+        .withColumn("reject_reason", _fenced(_reject_reason()))
+        .withColumn("_payload", F.when(accepted, payload))
+    )
+    # One lambda over five texts instead of five copies of the expression: the generated code of
+    # a step stays below the size at which the JVM stops compiling it.
+    pieces = judged.withColumns(
+        {
+            "event_type": payload["type"].cast("string"),
+            "_old_statuses": P.status_list(payload["contents"]["old"]["status"]),
+            "_new_statuses": P.status_list(payload["contents"]["new"]["status"]),
+            "_instants": F.transform(F.array(*times.values()), rfc3339_timestamp),
+        }
+    )
+    event = {
+        "service": payload["service"].cast("string"),
+        "api": payload["api"].cast("string"),
+        "content_id": payload["id"].cast("string"),
+        "event_kind": event_kind(F.col("event_type"), F.col("_old_statuses"), F.col("_new_statuses")),
         "old_status": P.status_csv(F.col("_old_statuses")),
         "new_status": P.status_csv(F.col("_new_statuses")),
+        **{name: F.get("_instants", F.lit(index)) for index, name in enumerate(times)},
         "raw_payload": F.when(accepted, F.col("_text")),
         "dt": business_day(F.col("received_at")),
         "body": F.when(~accepted, F.col("body")),
         "reject_class": F.try_element_at(reasons, F.col("reject_reason")),
     }
-    classified = (
-        _parse(raw, secret)
-        .withColumn("reject_reason", _fenced(_reject_reason()))
-        .withColumns({f"_{name}": F.when(accepted, field) for name, field in fields.items()})
-        .withColumns(event)
-    )
     kept = dict.fromkeys([*raw.columns, *EVENT_COLUMNS, "reject_reason", "reject_class"])
-    return classified.select(*kept)
+    return pieces.withColumns(event).select(*kept)
 
 
 def accepted_events(deliveries: DataFrame) -> DataFrame:

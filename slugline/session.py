@@ -7,9 +7,11 @@ from pyspark.sql import SparkSession
 
 # Everything that renders or parses a timestamp assumes UTC. Small post-shuffle partitions are
 # kept apart down to 64 kB because the cost of a partitioned write is per file, not per byte.
+# HotSpot does not compile methods above 8,000 bytes, so larger generated ones are split instead.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
