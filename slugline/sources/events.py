@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
+from urllib.parse import quote, urlsplit
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -71,26 +71,53 @@ def drifted_columns(spark: SparkSession, root: str) -> DataFrame:
     return files.mapInPandas(footers, "path string, drift string")
 
 
+def uniform_paths(files: DataFrame, root: str) -> dict[str, list[str]]:
+    """The fewest folders and files below `root` that together cover each kind of drift.
+
+    `files` is what `drifted_columns` returns. A folder stands for everything in it if all of it
+    drifts alike, so the driver receives as many paths as the drift is irregular, and `root`
+    alone for a table without any.
+    """
+    base = urlsplit(root).path.rstrip("/")
+    below = F.substr("path", F.instr("path", base) + F.lit(len(base) + 1))
+    segments = F.split(below, "/")
+    prefixes = F.transform(
+        F.sequence(F.lit(0), F.size(segments)), lambda depth: F.array_join(F.slice(segments, 1, depth), "/")
+    )
+    uniform = (
+        files.select("drift", F.explode(prefixes).alias("prefix"))
+        .groupBy("prefix")
+        .agg(F.min("drift").alias("drift"), F.max("drift").alias("other"))
+        .where("drift = other")
+        .select("prefix", "drift")
+        .persist()
+    )
+    parent = F.when(F.col("prefix") != "", F.regexp_replace("prefix", "/?[^/]+$", ""))
+    inside_another = uniform.select(F.col("prefix").alias("parent"))
+    widest = uniform.withColumn("parent", parent).join(inside_another, "parent", "left_anti")
+    cover: dict[str, list[str]] = defaultdict(list)
+    for row in widest.toLocalIterator():
+        cover[row.drift].append(f"{root.rstrip('/')}/{row.prefix}".rstrip("/"))
+    uniform.unpersist()
+    return cover
+
+
 def union_by_name_scan(spark: SparkSession, root: str) -> DataFrame:
     """The event table where writers disagreed on types, such as all-NULL columns stored as INT.
 
     Files are grouped by how they drift; each group is read under its own types, cast, and united
-    by name. What reaches the driver is file names, which its file index holds in any case.
+    by name.
     """
-    groups: dict[str, list[str]] = defaultdict(list)
-    for row in drifted_columns(spark, root).toLocalIterator():
-        groups[row.drift].append(row.path)
-    if set(groups) <= {""}:
-        return scan_events(spark, root)
-
     parts = []
-    for drift, paths in sorted(groups.items()):
+    for drift, paths in sorted(uniform_paths(drifted_columns(spark, root), root).items()):
         stored = {field.name: field for field in StructType.fromDDL(drift)} if drift else {}
         schema = StructType([stored.get(field.name, field) for field in EVENT_SCHEMA])
         part = spark.read.schema(schema).option("basePath", root).parquet(*paths)
         parts.append(
             part.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
         )
+    if not parts:
+        return scan_events(spark, root)
     united = parts[0]
     for part in parts[1:]:
         united = united.unionByName(part)

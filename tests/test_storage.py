@@ -113,6 +113,7 @@ def test_files_that_lack_columns_or_store_nulls_as_ints(spark, tmp_path):
         spark, {"service": "s", "api": "blogs", "dt": day("06-30"), "content_id": "A", "draft_created_at": at("06-01 00:00")}
     )
     S.write_events(complete, root)
+    assert E.uniform_paths(E.drifted_columns(spark, root), root) == {"": [root]}
     plain = rows(E.union_by_name_scan(spark, root))
     assert plain == rows(E.scan_events(spark, root))
 
@@ -121,8 +122,11 @@ def test_files_that_lack_columns_or_store_nulls_as_ints(spark, tmp_path):
         drifting = drifting.withColumn(name, F.lit(None).cast("int"))
     drifting.drop("new_status", "new_updated_at").write.mode("append").partitionBy("service", "api", "dt").parquet(root)
 
-    drifts = {row.drift for row in E.drifted_columns(spark, root).collect()}
-    assert drifts == {"", "`content_id` int, `old_status` int, `draft_created_at` int"}
+    cover = E.uniform_paths(E.drifted_columns(spark, root), root)
+    assert cover == {
+        "": [f"{root}/service=s/api=blogs"],
+        "`content_id` int, `old_status` int, `draft_created_at` int": [f"{root}/service=s/api=authors"],
+    }
     stored = E.union_by_name_scan(spark, root).orderBy("api").collect()
     assert [row.api for row in stored] == ["authors", "blogs"]
     assert [row.content_id for row in stored] == [None, "A"]
