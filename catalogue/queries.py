@@ -72,12 +72,13 @@ def _landed_webhooks(spark: SparkSession, sf_dir: str) -> str:
         F.col("signature").isNotNull(),
         F.create_map(F.lit("Content-Type"), F.lit("application/json"), name, F.col("signature")),
     ).otherwise(F.create_map(F.lit("Content-Type"), F.lit("application/json")))
-    landed = sample.webhooks(spark, sf_dir).select("body", headers.alias("headers"), "received_at")
-    return _once(spark, sf_dir, "landed", landed.repartition(4).write.parquet)
+    landed = sample.webhooks(spark, sf_dir).select("event_id", "body", headers.alias("headers"), "received_at")
+    return _once(spark, sf_dir, "landed", landed.repartition(8).write.parquet)
 
 
 LANDED_SCHEMA = T.StructType(
     [
+        T.StructField("event_id", T.LongType()),
         RAW_SCHEMA["body"],
         T.StructField("headers", T.MapType(T.StringType(), T.StringType())),
         RAW_SCHEMA["received_at"],
@@ -167,12 +168,12 @@ def raw_webhooks(spark, sf_dir):
 
 
 def verify_signature(spark, sf_dir):
-    checked = I.verify_signature(sample.webhooks(spark, sf_dir), sample.SECRET)
+    checked = I.verify_signature(_landed_batch(spark, sf_dir), sample.SECRET)
     return checked.select("event_id", "signature_ok")
 
 
 def reject_classification(spark, sf_dir):
-    deliveries = I.classify_deliveries(sample.webhooks(spark, sf_dir), sample.SECRET)
+    deliveries = I.classify_deliveries(_landed_batch(spark, sf_dir), sample.SECRET)
     return deliveries.select("event_id", "reject_reason", "reject_class")
 
 
@@ -185,7 +186,7 @@ def ingest_events(spark, sf_dir):
 
 
 def ingest_quarantine(spark, sf_dir):
-    stored = spark.read.parquet(S.quarantine_root(_ingested(spark, sf_dir)))
+    stored = E.scan_quarantine(spark, S.quarantine_root(_ingested(spark, sf_dir)))
     return stored.select(
         "received_at", "dt", "reject_reason", "reject_class", F.sha2("body", 256).alias("body_sha256")
     )
@@ -197,7 +198,7 @@ def stream_ingest(spark, sf_dir):
         _landed_webhooks(spark, sf_dir),
         schema=LANDED_SCHEMA,
         signature_header=SIGNATURE_HEADER,
-        max_files_per_trigger=2,
+        max_files_per_trigger=4,
     )
     root = scratch_path(spark, "streamed")
     start_ingest(stream, sample.SECRET, root, scratch_path(spark, "progress")).awaitTermination()

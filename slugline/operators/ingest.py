@@ -13,7 +13,7 @@ from slugline.functions.days import business_day
 from slugline.functions.lifecycle import event_kind
 from slugline.functions.signature import hmac_sha256_hex, readable_signature, signature_matches
 from slugline.functions.timestamps import rfc3339_timestamp
-from slugline.schema import EVENT_COLUMNS
+from slugline.schema import EVENT_COLUMNS, QUARANTINE_SCHEMA
 
 # Why a record is turned away, in order of precedence, and the class of each reason.
 MISSING_SIGNATURE = "missing_signature"
@@ -139,9 +139,7 @@ def accepted_events(deliveries: DataFrame) -> DataFrame:
 
 def rejected_deliveries(deliveries: DataFrame) -> DataFrame:
     """The turned-away records as they arrived, with the reason."""
-    return deliveries.where(F.col("reject_reason").isNotNull()).select(
-        "received_at", "dt", "signature", "body", "reject_reason", "reject_class"
-    )
+    return deliveries.where(F.col("reject_reason").isNotNull()).select(*QUARANTINE_SCHEMA.names)
 
 
 def normalize_events(raw: DataFrame, secret: bytes) -> DataFrame:

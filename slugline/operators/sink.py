@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F
 
 from slugline.functions.partitions import partition_value
-from slugline.schema import EVENT_COLUMNS, PARTITION_COLUMNS, REQUIRED_COLUMNS
+from slugline.schema import EVENT_COLUMNS, PARTITION_COLUMNS, QUARANTINE_SCHEMA, REQUIRED_COLUMNS
 
 # The two tables one ingest run fills, as the first partition level under its root.
 TABLE_COLUMN = "table"
 EVENTS, QUARANTINE = "events", "quarantine"
-QUARANTINE_COLUMNS = ("signature", "body", "reject_reason", "reject_class")
+QUARANTINE_COLUMNS = tuple(name for name in QUARANTINE_SCHEMA.names if name not in EVENT_COLUMNS)
 BATCH_COLUMN = "ingest_batch"
 
 

@@ -16,7 +16,11 @@ def activity_cube(events: DataFrame, span: TimeRange) -> DataFrame:
 
 
 def count_panels(cube: DataFrame, span: TimeRange) -> dict[str, DataFrame]:
-    """The count panels out of a cube. Persist or store the cube first if several are shown."""
+    """The count panels out of a cube that covers at least the range.
+
+    Persist the cube if several panels are shown, or store one that covers more days.
+    """
+    cube = C.in_range(cube, span)
     activity = C.api_activity_of(cube)
     return {
         "calendar_heatmap": C.calendar_of(cube, span),

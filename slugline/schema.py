@@ -31,6 +31,17 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("received_at", T.TimestampType(), False),
+        T.StructField("dt", T.DateType()),
+        T.StructField("signature", T.StringType()),
+        T.StructField("body", T.BinaryType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("reject_class", T.IntegerType()),
+    ]
+)
+
 # Stored statuses, event types and event kinds.
 DRAFT, PUBLISH, CLOSED = "DRAFT", "PUBLISH", "CLOSED"
 NEW, EDIT, DELETE = "new", "edit", "delete"

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 from slugline.functions.partitions import restored_value
-from slugline.schema import EVENT_COLUMNS, EVENT_FIELDS, EVENT_SCHEMA
+from slugline.schema import EVENT_COLUMNS, EVENT_FIELDS, EVENT_SCHEMA, QUARANTINE_SCHEMA
 
 
 def _with_path_values(scanned: DataFrame) -> DataFrame:
@@ -33,6 +33,11 @@ def scan_events(spark: SparkSession, root: str) -> DataFrame:
     return _with_path_values(spark.read.schema(EVENT_SCHEMA).parquet(root))
 
 
+def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The quarantine table under `root`: rejected records as they arrived, and why."""
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(root).select(*QUARANTINE_SCHEMA.names)
+
+
 def _arrow_location(path: str) -> str:
     """A Hadoop path as the file reader of the Python workers names it."""
     scheme, separator, rest = path.partition(":")

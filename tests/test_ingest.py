@@ -243,3 +243,12 @@ def test_header_lookup_and_body_kinds(spark):
     assert all(row.received_at is not None for row in raw)
     named = landed.select(header_value(landed.headers, "OTHER").alias("value")).collect()
     assert [row.value for row in named] == [None, None, "c"]
+
+
+def test_long_bodies_are_read_whole(spark):
+    """The statuses stand after eight megabytes of text."""
+    text = "x\\n\u00e9" * 2_000_000
+    body = f'{{"type":"new","api":"a","contents":{{"new":{{"html":"{text}","status":"DRAFT"}}}}}}'
+    (event,) = events_of(spark, body)
+    assert (event.reject_reason, event.event_kind) == (None, "INITIAL_DRAFT")
+    assert len(event.raw_payload) == len(body)

@@ -202,11 +202,11 @@ def test_json(spark):
 
 
 def test_dashboard_from_one_cube(spark, small):
-    from catalogue.queries import MAIN
+    from catalogue.queries import MAIN, WIDE
     from catalogue.sample import content_events
 
     table = content_events(spark, small)
-    panels = count_panels(activity_cube(table, MAIN).persist(), MAIN)
+    panels = count_panels(activity_cube(table, WIDE).persist(), MAIN)
     for name in ("calendar_heatmap", "publish_action_summary", "publish_action_trend", "api_activity"):
         assert rows(panels[name]) == rows(getattr(M, name)(table, MAIN)), name
     assert set(content_panels(table, MAIN)) == {

@@ -145,7 +145,7 @@ def test_batch_ingest_fills_both_tables(spark, tmp_path):
     ingest_batch(deliveries(spark, *bodies()), SECRET, root)
     stored = E.scan_events(spark, S.events_root(root))
     assert sorted(row.api for row in stored.collect()) == ["blogs", "blogs", "unknown"]
-    rejected = spark.read.parquet(S.quarantine_root(root)).collect()
+    rejected = E.scan_quarantine(spark, S.quarantine_root(root)).collect()
     assert sorted(row.reject_reason for row in rejected) == [
         I.INVALID_SIGNATURE,
         I.MISSING_SIGNATURE,
@@ -164,7 +164,7 @@ def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     for batch_id in (0, 1, 1, 0):
         S.write_deliveries(classified, root, batch_id=batch_id)
     assert E.scan_events(spark, S.events_root(root)).count() == 6
-    assert spark.read.parquet(S.quarantine_root(root)).count() == 6
+    assert E.scan_quarantine(spark, S.quarantine_root(root)).count() == 6
     assert rows(N.table_summary(spark, S.events_root(root)))[0][0] == 6
 
 
@@ -187,7 +187,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert run().count() == 3
     land()
     assert run().count() == 6
-    assert spark.read.parquet(S.quarantine_root(root)).count() == 6
+    assert E.scan_quarantine(spark, S.quarantine_root(root)).count() == 6
 
 
 def test_scratch_paths_are_fresh_and_under_the_named_folder(spark):
