@@ -14,9 +14,9 @@ QUARANTINE_COLUMNS = tuple(name for name in QUARANTINE_SCHEMA.names if name not
 BATCH_COLUMN = "ingest_batch"
 
 
-def table_root(prefix: str) -> str:
-    """A table's folder name without surrounding slashes, to be joined to a bucket or folder."""
-    return prefix.strip("/")
+def table_root(base: str, prefix: str) -> str:
+    """The folder of a table below a bucket or folder; slashes around the prefix do not matter."""
+    return f"{base.rstrip('/')}/{prefix.strip('/')}"
 
 
 def _required(name: str) -> Column:

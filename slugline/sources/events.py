@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote, urlsplit
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -83,8 +83,8 @@ def uniform_paths(files: DataFrame, root: str) -> dict[str, list[str]]:
     drifts alike, so the driver receives as many paths as the drift is irregular, and `root`
     alone for a table without any.
     """
-    base = urlsplit(root).path.rstrip("/")
-    below = F.substr("path", F.instr("path", base) + F.lit(len(base) + 1))
+    base = root.rstrip("/").split("://")[-1] + "/"
+    below = F.substr("path", F.instr("path", base) + F.lit(len(base)))
     segments = F.split(below, "/")
     prefixes = F.transform(
         F.sequence(F.lit(0), F.size(segments)), lambda depth: F.array_join(F.slice(segments, 1, depth), "/")

@@ -47,8 +47,8 @@ def test_layout_and_escaping(spark, tmp_path):
     assert "service=unknown/api=unknown/dt=2026-06-30" in folders(root)
 
 
-def test_table_root_has_no_outer_slashes():
-    assert S.table_root("/content_events/") == "content_events"
+def test_slashes_around_a_prefix_do_not_matter():
+    assert S.table_root("s3a://bucket/", "/content_events/") == "s3a://bucket/content_events"
 
 
 def test_escaping_keeps_length(spark):
@@ -194,3 +194,49 @@ def test_scratch_paths_are_fresh_and_under_the_named_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(base) and second.startswith(base)
+
+
+def test_seven_reports_over_two_writers(spark, tmp_path):
+    """Ten events of one day, the ones of the second API written with untyped NULL columns."""
+    root, today = str(tmp_path / "events"), "06-20"
+
+    def blog(kind, event_type="edit", content_id=None, received="06-20 01:00", **times):
+        row = {"service": "s", "api": "blogs", "dt": day(today), "event_kind": kind, "event_type": event_type,
+               "content_id": content_id, "received_at": at(received)}
+        return row | {name: at(text) for name, text in times.items()}
+
+    blogs = events(
+        spark,
+        blog("PUBLISH_FROM_DRAFT", content_id="A", content_created_at="06-18 12:00", content_published_at="06-20 12:00"),
+        blog("INITIAL_DRAFT", "new", "A", draft_created_at="06-15 12:00"),
+        blog("UPDATE_PUBLISHED", content_id="A", received="06-20 13:00"),
+        blog("UNPUBLISH_TO_DRAFT"),
+        blog("UNPUBLISH_TO_CLOSED"),
+        blog("ADD_DRAFT_TO_PUBLISHED"),
+        blog("DISCARD_DRAFT_ON_PUBLISHED"),
+        blog(None),
+        blog("INITIAL_PUBLISH", "new", "B", content_created_at="06-20 08:00", content_published_at="06-20 14:00"),
+    )
+    S.write_events(blogs, root)
+    authors = events(
+        spark, {"service": "s", "api": "authors", "dt": day(today), "event_kind": "DELETE_PUBLISHED", "event_type": "delete"}
+    )
+    for name in ("content_id", "draft_created_at", "content_created_at", "content_published_at"):
+        authors = authors.withColumn(name, F.lit(None).cast("int"))
+    authors.write.mode("append").partitionBy("service", "api", "dt").parquet(root)
+
+    table, span = E.union_by_name_scan(spark, root), days("06-19", "06-21")
+    assert [row[1] for row in rows(M.calendar_heatmap(table, span))] == [0, 10, 0]
+    activity = M.api_activity(table, span).collect()
+    assert [(row.api, row.total_count, row.delete_published_count) for row in activity] == [
+        ("blogs", 9, 0),
+        ("authors", 1, 1),
+    ]
+    assert rows(M.top_updated_contents(table, span)) == [
+        ("blogs", "A", 3, "2026-06-20T13:00:00Z"),
+        ("blogs", "B", 1, "2026-06-20T01:00:00Z"),
+    ]
+    assert rows(M.average_time_to_publish(table, span)) == [("blogs", 1.125, None)]
+    assert rows(M.average_draft_to_publish(table, span)) == [("blogs", 5.0, None, 1)]
+    assert rows(M.publish_action_summary(table, span)) == [(2, 3, 6, 0.5)]
+    assert rows(M.publish_action_trend(table, span))[1][1:] == (1, 1, 0, 2)
