@@ -281,6 +281,9 @@ ORACLES: dict[str, str] = {
     "scan_events": f"""{EVENTS}
 SELECT service, coalesce(api, 'unknown') AS api, dt, event_kind, count(*)::BIGINT AS event_count
 FROM ev GROUP BY ALL""",
+    "scan_events_of_days": f"""{EVENTS}
+SELECT dt, coalesce(api, 'unknown') AS api, count(*)::BIGINT AS event_count
+FROM ev WHERE {IN_RANGE} GROUP BY ALL""",
     "union_by_name_scan": f"{BODIES} SELECT {STORED_COLUMNS} FROM EV_WITH_BODY",
     "parquet_roundtrip": f"{BODIES} SELECT {STORED_COLUMNS} FROM EV_WITH_BODY",
     "partition_layout": f"""{EVENTS}, stored AS ({STORED_DAYS})

@@ -104,6 +104,11 @@ def scan_events(spark, sf_dir):
     return table.groupBy(*PARTITION_COLUMNS, "event_kind").agg(F.count("*").alias("event_count"))
 
 
+def scan_events_of_days(spark, sf_dir):
+    table = E.scan_events(spark, _event_table(spark, sf_dir), MAIN)
+    return table.groupBy("dt", "api").agg(F.count("*").alias("event_count"))
+
+
 def parquet_roundtrip(spark, sf_dir):
     return E.scan_events(spark, _event_table(spark, sf_dir))
 
@@ -360,6 +365,7 @@ REPORTS: dict[str, Query] = {
 
 OPERATORS: dict[str, Query] = {
     "scan_events": scan_events,
+    "scan_events_of_days": scan_events_of_days,
     "union_by_name_scan": union_by_name_scan,
     "parquet_roundtrip": parquet_roundtrip,
     "partition_layout": partition_layout,

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from datetime import timedelta
 from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 from slugline.functions.partitions import restored_value
+from slugline.plans.params import TimeRange
 from slugline.schema import EVENT_COLUMNS, EVENT_FIELDS, EVENT_SCHEMA, QUARANTINE_SCHEMA
 
 
@@ -23,14 +26,29 @@ def _with_path_values(scanned: DataFrame) -> DataFrame:
     ).select(*EVENT_COLUMNS)
 
 
-def scan_events(spark: SparkSession, root: str) -> DataFrame:
-    """The event table under `root`.
+def scan_events(spark: SparkSession, root: str, span: TimeRange | None = None) -> DataFrame:
+    """The event table under `root`, or only the folders of a range's days.
 
     The declared schema, partition columns included, replaces inference: no footers are read for
     it, an all-digit `api` stays text, and a column a file lacks reads as NULL. Deeper partition
     levels, such as the batch number a stream adds, are pruned away here.
+
+    A filter on `dt` prunes what is read, but only after every folder of the table was listed.
+    Where the range is a small part of a long history, give it here too: other days are then not
+    even listed. It must not be given for `average_draft_to_publish`, which looks at drafts of
+    any age.
     """
-    return _with_path_values(spark.read.schema(EVENT_SCHEMA).parquet(root))
+    reader = spark.read.schema(EVENT_SCHEMA)
+    if span is not None:
+        days = ",".join(str(span.first_day + timedelta(days=offset)) for offset in range(span.day_count))
+        try:
+            listed = reader.option("basePath", root).parquet(f"{root}/service=*/api=*/dt={{{days}}}")
+            return _with_path_values(listed)
+        except AnalysisException as error:
+            # None of the days has a folder; the plain scan below then has no row of them either.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return _with_path_values(reader.parquet(root))
 
 
 def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:

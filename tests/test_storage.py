@@ -14,6 +14,7 @@ from slugline.operators import inventory as N
 from slugline.operators import metrics as M
 from slugline.operators import sink as S
 from slugline.plans.ingest import ingest_batch
+from slugline.plans.params import TimeRange
 from slugline.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from slugline.session import scratch_path
 from slugline.sources import events as E
@@ -75,6 +76,22 @@ def test_append_overwrite_and_inventory(spark, tmp_path):
     assert rows(N.table_summary(spark, root)) == [(1, 1, 1, day("06-30"), day("06-30"))]
 
 
+def test_a_range_limits_what_is_listed(spark, tmp_path):
+    root = str(tmp_path / "events")
+    table = events(spark, *[{"service": "s", "api": "a", "dt": day(f"06-{n}")} for n in (10, 11, 12, 13)])
+    S.write_events(table, root)
+    listed = E.scan_events(spark, root, days("06-11", "06-20"))
+    assert len(listed.inputFiles()) == 3
+    span = days("06-11", "06-12")
+    assert rows(M.calendar_heatmap(E.scan_events(spark, root, span), span)) == rows(M.calendar_heatmap(table, span))
+    quiet = days("07-01", "07-02")
+    assert [row[1] for row in rows(M.calendar_heatmap(E.scan_events(spark, root, quiet), quiet))] == [0, 0]
+    decade = TimeRange.of(0, 3660 * 86_400_000)
+    assert M.publish_action_summary(E.scan_events(spark, root, decade), decade).count() == 1
+    with pytest.raises(PySparkException):
+        E.scan_events(spark, str(tmp_path / "missing"), span)
+
+
 def test_rows_per_file(spark, tmp_path):
     root = str(tmp_path / "events")
     S.write_events(
