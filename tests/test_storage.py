@@ -30,7 +30,7 @@ def test_layout_and_escaping(spark, tmp_path):
     root = str(tmp_path / "events")
     table = events(
         spark,
-        {"service": "example/service", "api": "blogs api", "dt": day("06-29")},
+        {"service": "news/room", "api": "long reads", "dt": day("06-29")},
         {"service": None, "api": None, "dt": day("06-30")},
         {"service": "a=b?c#d[e]f", "api": "123", "dt": day("06-30")},
         {"service": "", "api": "ünï%code'", "dt": day("06-30")},
@@ -39,12 +39,12 @@ def test_layout_and_escaping(spark, tmp_path):
     stored = E.scan_events(spark, root)
     assert stored.columns == list(EVENT_COLUMNS)
     assert {(row.service, row.api, str(row.dt)) for row in stored.collect()} == {
-        ("example_service", "blogs_api", "2026-06-29"),
+        ("news_room", "long_reads", "2026-06-29"),
         ("unknown", "unknown", "2026-06-30"),
         ("a_b_c_d_e_f", "123", "2026-06-30"),
         ("", "ünï%code'", "2026-06-30"),
     }
-    assert "service=example_service/api=blogs_api/dt=2026-06-29" in folders(root)
+    assert "service=news_room/api=long_reads/dt=2026-06-29" in folders(root)
     assert "service=unknown/api=unknown/dt=2026-06-30" in folders(root)
 
 
@@ -161,7 +161,7 @@ def test_batch_ingest_fills_both_tables(spark, tmp_path):
     root = str(tmp_path / "ingested")
     ingest_batch(deliveries(spark, *bodies()), SECRET, root)
     stored = E.scan_events(spark, S.events_root(root))
-    assert sorted(row.api for row in stored.collect()) == ["blogs", "blogs", "unknown"]
+    assert sorted(row.api for row in stored.collect()) == ["articles", "articles", "unknown"]
     rejected = E.scan_quarantine(spark, S.quarantine_root(root)).collect()
     assert sorted(row.reject_reason for row in rejected) == [
         I.INVALID_SIGNATURE,
