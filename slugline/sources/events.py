@@ -56,24 +56,24 @@ def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(root).select(*QUARANTINE_SCHEMA.names)
 
 
-def _arrow_location(path: str) -> str:
-    """A Hadoop path as the file reader of the Python workers names it."""
-    scheme, separator, rest = path.partition(":")
-    if not separator or scheme == "file":
-        return rest or path
-    return f"{'s3' if scheme == 's3a' else scheme}:{quote(rest)}"
-
-
 def drifted_columns(spark: SparkSession, root: str) -> DataFrame:
     """(path, drift) per file: its event columns stored under a type the event table cannot read.
 
     `drift` is a DDL fragment, empty for a conforming file. Paths come from a listing whose
-    content column is never touched, and footers are read by the tasks, not by the driver.
+    content column is never touched, and footers are read by the tasks, not by the driver, through
+    the file systems Arrow knows. The task's function refers to nothing of this package, so the
+    workers need not have it installed.
     """
     expected = {field.name: field.dataType.simpleString() for field in EVENT_FIELDS}
 
+    def arrow_location(path: str) -> str:
+        scheme, separator, rest = path.partition(":")
+        if not separator or scheme == "file":
+            return rest or path
+        return f"{'s3' if scheme == 's3a' else scheme}:{quote(rest)}"
+
     def drift_of(path: str) -> str:
-        filesystem, name = fs.FileSystem.from_uri(_arrow_location(path))
+        filesystem, name = fs.FileSystem.from_uri(arrow_location(path))
         stored = from_arrow_schema(pq.read_schema(name, filesystem=filesystem))
         types = {field.name: field.dataType.simpleString() for field in stored}
         return ", ".join(
