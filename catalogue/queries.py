@@ -25,7 +25,7 @@ from slugline.operators.export import json_document, json_rows
 from slugline.plans import dashboard
 from slugline.plans.ingest import ingest_batch
 from slugline.plans.params import DurationUnit, TimeRange
-from slugline.schema import EVENT_COLUMNS, PARTITION_COLUMNS, RAW_SCHEMA
+from slugline.schema import PARTITION_COLUMNS, RAW_SCHEMA
 from slugline.session import pin_session, scratch_path
 from slugline.sources import events as E
 from slugline.sources import webhooks as W

@@ -27,6 +27,7 @@ REASON_CLASS = {
     PARSE_ERROR: 400,
 }
 
+
 def _fenced(column: Column) -> Column:
     """The column unchanged, but opaque to filter push-down.
 
