@@ -1,6 +1,5 @@
 """Session settings the engine relies on, and the shared scratch location."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,13 +34,8 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own, never used before, in the folder all executors share.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only a local-mode
-    session without that setting falls back to a temporary folder, since there the driver
-    and the executors are one process.
+    The folder is the one the cluster names in `spark.checkpoint.dir`; a session without that
+    setting uses its warehouse folder, which executors reach as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/slugline-{uuid.uuid4().hex}/{name}"
