@@ -106,14 +106,14 @@ def training_sample(docs: DataFrame, per_language: int) -> list:
                 if has_letter(text):
                     shares_of = profile(text)
                     ids = np.flatnonzero(shares_of)
-                    rows.append((lang, order, ids.tolist(), shares_of[ids].tolist()))
+                    rows.append((lang, order, ids.astype("<i4").tobytes(), shares_of[ids].astype("<f4").tobytes()))
             columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            types = [pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.float64())]
+            types = [pa.string(), pa.int64(), pa.binary(), pa.binary()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["lang", "key", "ids", "shares"])
 
-    rows = chosen.mapInArrow(per_batch, "lang string, key long, ids array<int>, shares array<double>").collect()
-    return sorted(rows, key=lambda row: (row["key"], row["lang"], len(row["ids"])))
+    rows = chosen.mapInArrow(per_batch, "lang string, key long, ids binary, shares binary").collect()
+    return sorted(rows, key=lambda row: (row["key"], row["lang"], bytes(row["ids"])))
 
 
 def train(sample: list, epochs: int = 12, rate: float = 40.0, rejected: float = 0.001, seed: int = 7) -> LanguageModel:
@@ -124,7 +124,7 @@ def train(sample: list, epochs: int = 12, rate: float = 40.0, rejected: float =
     """
     languages = tuple(sorted({row["lang"] for row in sample}))
     label = {name: k for k, name in enumerate(languages)}
-    rows = [(np.array(r["ids"]), np.array(r["shares"]), label[r["lang"]]) for r in sample]
+    rows = [(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["shares"], "<f4"), label[r["lang"]]) for r in sample]
     held, fit = rows[::5], [row for k, row in enumerate(rows) if k % 5] or rows
     rng = np.random.default_rng(seed)
     embed = rng.normal(0, 1 / np.sqrt(DIMENSIONS), (BUCKETS, DIMENSIONS))
