@@ -9,16 +9,18 @@ from dataclasses import astuple, dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from slugline.llm.common import slices, written
+from slugline.llm.mixing import token_count
 
 DEPTH = 5  # bytes of context; a gram is these and the byte they predict
 TOP = 2  # contexts of so many bytes stay together in a task
 BLOCK_BYTES = 1 << 21
 WORDS_HELD = 1 << 19
 # Entries of a look-up table that one broadcast may hold; a larger one takes several passes.
-TABLE_ENTRIES = 4_000_000
+TABLE_ENTRIES = 2_000_000
 
 
 def lower_bytes(text: str | None) -> bytes:
@@ -267,7 +269,14 @@ def word_table(words: DataFrame) -> tuple[DataFrame, int]:
 
 # --- looking up --------------------------------------------------------------------------------
 
-Measure = Callable[[list[str | None], np.ndarray, np.ndarray], list[np.ndarray]]
+Measure = Callable[[list[str | None], "Table", int], list[np.ndarray]]
+
+
+def broadcast_table(entries: DataFrame) -> Broadcast:
+    """(hash table, bits of its homes) of (key, value); callers check its size."""
+    got = entries.toArrow()
+    table = hash_table(got.column("key").to_numpy(), got.column("value").to_numpy())
+    return entries.sparkSession.sparkContext.broadcast((table, slot_bits(max(1, len(got)))))
 
 
 def add_sums(rows: DataFrame, table: DataFrame, measure: Measure, names: list[str]) -> DataFrame:
@@ -277,7 +286,6 @@ def add_sums(rows: DataFrame, table: DataFrame, measure: Measure, names: list[st
     and the texts are read once for each part, each time with one part in memory; the sums are
     added up, equal rows together, so that any size gives the same sums.
     """
-    spark = rows.sparkSession
     parts = max(1, -(-table.count() // TABLE_ENTRIES))
     kept = [c for c in rows.columns if c != "text"]
     fields = {f.name: f.dataType.simpleString() for f in rows.schema}
@@ -285,15 +293,11 @@ def add_sums(rows: DataFrame, table: DataFrame, measure: Measure, names: list[st
     done = []
     for k in range(parts):
         mine = table.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == k) if parts > 1 else table
-        got = mine.toArrow()
-        keys, values = got.column("key").to_numpy(), got.column("value").to_numpy()
-        order = np.argsort(keys)
-        shared = spark.sparkContext.broadcast((keys[order], values[order]))
+        shared = broadcast_table(mine)
 
         def per_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keys, values = shared.value
-                sums = measure(batch.column("text").to_pylist(), keys, values)
+                sums = measure(batch.column("text").to_pylist(), *shared.value)
                 arrays = [batch.column(c) for c in kept] + [pa.array(x, pa.float64()) for x in sums]
                 yield pa.RecordBatch.from_arrays(arrays, [*kept, *names])
 
@@ -308,39 +312,67 @@ def add_sums(rows: DataFrame, table: DataFrame, measure: Measure, names: list[st
     return sums.select("*", F.explode(F.sequence(F.lit(1), "_rows")).alias("_row")).drop("_rows", "_row")
 
 
-def look_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(value, whether known) for each wanted key; `keys` ascend."""
-    distinct, at = np.unique(wanted, return_inverse=True)
-    if not len(keys):
-        return np.zeros(len(wanted), values.dtype), np.zeros(len(wanted), bool)
-    found = np.minimum(np.searchsorted(keys, distinct), len(keys) - 1)
-    known = keys[found] == distinct
-    return np.where(known, values[found], 0)[at], known[at]
+Table = tuple[np.ndarray, np.ndarray]  # slots of keys and of values; an empty slot is (-1, 0)
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def homes(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys.view(np.uint64) * GOLDEN) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def slot_bits(n: int) -> int:
+    return max(4, (2 * n - 1).bit_length())
+
+
+def hash_table(keys: np.ndarray, values: np.ndarray) -> Table:
+    """Distinct keys by linear probing in the order of their homes; no value is 0."""
+    bits = slot_bits(max(1, len(keys)))
+    home = homes(keys, bits)
+    order = np.argsort(home, kind="stable")
+    run = np.arange(len(keys))
+    place = np.maximum.accumulate(home[order] - run) + run if len(keys) else run
+    size = max(1 << bits, int(place[-1]) + 1 if len(keys) else 0) + 1
+    slots, told = np.full(size, -1, np.int64), np.zeros(size, values.dtype)
+    slots[place], told[place] = keys[order], values[order]
+    return slots, told
+
+
+def look_up(wanted: np.ndarray, table: Table, bits: int) -> np.ndarray:
+    """The value of each wanted key, 0 where the table lacks it."""
+    slots, told = table
+    values = np.zeros(len(wanted), told.dtype)
+    left, at = np.arange(len(wanted)), homes(wanted, bits)
+    while len(left):
+        value = told[at]
+        hit = slots[at] == wanted[left]
+        values[left[hit]] = value[hit]
+        on = ~hit & (value != 0)
+        left, at = left[on], at[on] + 1
+    return values
 
 
-def gram_measure(texts: list[str | None], keys: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
+def gram_measure(texts: list[str | None], table: Table, bits: int) -> list[np.ndarray]:
     total = np.zeros(len(texts))
     for grams, owner in gram_blocks([lower_bytes(t) for t in texts]):
-        total += np.bincount(owner, look_up(grams, keys, values)[0], len(texts))
+        total += np.bincount(owner, look_up(grams, table, bits), len(texts))
     return [total]
 
 
 def word_measure(seed: int, base: float) -> Measure:
-    """Words, known words and the sum of log10((c + 1) / base) over the known."""
+    """Known words and the sum of log10((c + 1) / base) over them."""
 
-    def measure(texts: list[str | None], keys: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
-        n_words, n_known, score = (np.zeros(len(texts)) for _ in range(3))
+    def measure(texts: list[str | None], table: Table, bits: int) -> list[np.ndarray]:
+        n_known, score = np.zeros(len(texts)), np.zeros(len(texts))
         digest = xxhash.xxh64_intdigest
         for k, text in enumerate(texts):
             words = lower_bytes(text).split()
-            n_words[k] = len(words)
             for part in slices(len(words), WORDS_HELD):
                 hashes = np.array([digest(w, seed) for w in words[part]], np.uint64).view(np.int64)
-                found = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
-                counts = values[found[keys[found] == hashes]] if len(keys) else np.array([])
+                counts = look_up(hashes, table, bits)
+                counts = counts[counts > 0]
                 n_known[k] += len(counts)
                 score[k] += np.log10((counts + 1) / base).sum()
-        return [n_words, n_known, score]
+        return [n_known, score]
 
     return measure
 
@@ -363,7 +395,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     base = float(train_tokens + vocabulary + 1)
     scores = written(gram_scores(gram_counts(rows)), "gram_scores")
 
-    sized = rows.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0))
+    sized = rows.withColumns({"n_bytes": n_bytes, "words": token_count(F.col("text"))})
     by_words = add_words_and_grams(sized, known.toDF("key", "value"), scores.toDF("key", "value"), seed, base)
     unknown = F.col("words") - F.col("known")
     end_known = int(ends > 0)
@@ -381,14 +414,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
 def add_words_and_grams(rows: DataFrame, words: DataFrame, grams: DataFrame, seed: int, base: float) -> DataFrame:
     """Both measures; read in one go over the texts when each table fits one broadcast."""
-    names = ["words", "known", "known_score"]
+    names = ["known", "known_score"]
     if max(words.count(), grams.count()) <= TABLE_ENTRIES:
-        spark, by_word = rows.sparkSession, word_measure(seed, base)
-        got = words.toArrow().sort_by("key")
-        shared = spark.sparkContext.broadcast((got.column("key").to_numpy(), got.column("value").to_numpy()))
+        by_word, shared = word_measure(seed, base), broadcast_table(words)
 
-        def both(texts: list[str | None], keys: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
-            return [*by_word(texts, *shared.value), *gram_measure(texts, keys, values)]
+        def both(texts: list[str | None], table: Table, bits: int) -> list[np.ndarray]:
+            return [*by_word(texts, *shared.value), *gram_measure(texts, table, bits)]
 
         return add_sums(rows, grams, both, [*names, "score"])
     keyed = rows.withColumn("text_hash", F.xxhash64("text"))
