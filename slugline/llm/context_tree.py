@@ -17,8 +17,8 @@ from slugline.llm.mixing import token_count
 
 DEPTH = 5  # bytes of context; a gram is these and the byte they predict
 TOP = 2  # contexts of so many bytes stay together in a task
-BLOCK_BYTES = 1 << 21
-WORDS_HELD = 1 << 19
+BLOCK_BYTES = 1 << 20
+WORDS_HELD = 1 << 17
 # Entries of a look-up table that one broadcast may hold; a larger one takes several passes.
 TABLE_ENTRIES = 2_000_000
 
