@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
@@ -37,18 +40,40 @@ class WordTokens:
 
     def _some(self, words: list[str]) -> bytes:
         known = self.known
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            pass
-        fresh = list({word for word in words if word not in known})
-        if len(known) + len(fresh) > CACHED_WORDS:
-            known.clear()
-            fresh = list(set(words))
-        encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        for word, found in zip(fresh, encoded, strict=True):
-            known[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([known[word] for word in words])
+        found = list(map(known.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None] if None in found else []
+        if missing:
+            fresh = list({words[k] for k in missing})
+            if len(known) + len(fresh) > CACHED_WORDS:
+                known.clear()
+                self.stems.clear()
+            told = dict(zip(fresh, self._fresh(fresh), strict=True))
+            known.update(told)
+            for k in missing:
+                found[k] = told[words[k]]
+        return b"".join(found)
+
+    def _fresh(self, words: list[str]) -> Iterator[bytes]:
+        """A word of letters and one mark after it is two units to the tokenizer, and case is none."""
+        stems, parts = self.stems, []
+        for word in words:
+            stem, mark = (word[:-1], word[-1]) if word[-1:] in (",", ".") else (word, "")
+            if stem.isascii() and stem.isalpha():
+                stem = stem.lower()
+            elif mark and not unicodedata.normalize("NFC", stem).lower().isalpha():
+                stem, mark = word, ""  # a letter may turn into one with an accent of its own
+            parts.append((stem, mark))
+        unknown = {part for pair in parts for part in pair if part not in stems}
+        rest = []
+        for stem in unknown:
+            if stem.isascii() and stem.isalpha():
+                # Normalised and one unit already, so it is the model's alone.
+                stems[stem] = np.array([t.id for t in self.model.tokenize(stem)], "<u4").tobytes()
+            else:
+                rest.append(stem)
+        for stem, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            stems[stem] = np.array(encoded.ids, "<u4").tobytes()
+        return (stems[stem] + stems[mark] for stem, mark in parts)
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFrame:
