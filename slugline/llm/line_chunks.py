@@ -85,8 +85,7 @@ def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in
     before the shuffle, so a passage that a third of the documents share is no hot key; texts
     meet the list of what they lose in one join, by document.
     """
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64("text").alias("text_key"))
-    texts = rows.where("text IS NOT NULL").select("doc_id", "text_key", "text")
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     cut = texts.select("doc_id", "text_key", F.explode(chunks(F.col("text"), long_words, one_in)).alias("c"))
     candidates = cut.where("c.removable").select(
         "doc_id", "text_key", F.col("c.start").alias("start"), F.xxhash64("c.chunk").alias("key"), F.col("c.chunk").alias("chunk")
@@ -98,17 +97,22 @@ def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in
         places.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("NOT (a <=> b)").select("key"),
         "repeated_keys",
     )
-    shared = written(candidates.join(again, "key", "left_semi"), "repeated_chunks")
+    # The same plan at every size: keys and chunks are sorted and merged, never broadcast.
+    shared = written(candidates.join(again.hint("merge"), "key", "left_semi"), "repeated_chunks")
     firsts = shared.groupBy("key", "chunk").agg(F.min(place).alias("first"))
     lost = (
-        shared.join(firsts, ["key", "chunk"])
+        shared.join(firsts.hint("merge"), ["key", "chunk"])
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("start").alias("lost"))
         .withColumnsRenamed({"doc_id": "lost_id", "text_key": "lost_key"})
     )
     same = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("text_key") == F.col("lost_key"))
-    joined = rows.join(lost.hint("shuffle_hash"), same, "left")
+    # The text travels once, inside its row.
+    whole = docs.select(F.struct("*").alias("row")).select(
+        "row", F.col("row")["doc_id"].alias("doc_id"), F.xxhash64(F.col("row")["text"]).alias("text_key")
+    )
+    joined = whole.join(lost.hint("shuffle_hash"), same, "left")
 
     def kept(of: Column) -> Column:
         stay = F.filter(of, lambda c: ~F.array_contains("lost", c["start"]))
@@ -118,12 +122,13 @@ def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in
             (F.size(of) - F.size(stay)).alias("n_removed"),
         )
 
-    cut_again = F.get(F.transform(F.array(chunks(F.col("text"), long_words, one_in)), kept), F.lit(0))
+    text = F.col("row")["text"]
+    cut_again = F.get(F.transform(F.array(chunks(text, long_words, one_in)), kept), F.lit(0))
     told = joined.withColumn("kept", F.when(F.col("lost").isNotNull(), cut_again))
     return told.select(
         "row",
-        F.coalesce("kept.text", "text").alias("text"),
-        F.coalesce("kept.n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce(F.col("kept")["text"], text).alias("text"),
+        F.coalesce(F.col("kept")["n_removed"], F.lit(0)).alias("n_removed"),
     )
 
 
