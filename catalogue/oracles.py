@@ -12,6 +12,7 @@ FIRST, LAST = "DATE '2024-01-05'", "DATE '2024-01-24'"
 WIDE_FIRST, WIDE_LAST = "DATE '2023-12-28'", "DATE '2024-02-03'"
 IN_RANGE = f"dt BETWEEN {FIRST} AND {LAST}"
 
+# The fourteen kinds of event.
 KINDS = [
     "INITIAL_DRAFT", "SAVE_DRAFT", "PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "UPDATE_PUBLISHED",
     "ADD_DRAFT_TO_PUBLISHED", "DISCARD_DRAFT_ON_PUBLISHED", "UNPUBLISH_TO_DRAFT",
@@ -19,25 +20,34 @@ KINDS = [
     "DELETE_PUBLISHED", "DELETE_CLOSED",
 ]
 
+# The decision table: what a set of statuses means, then what a change of meaning is called.
 MATRIX = """
-matrix(row_no, event_type, old_status, new_status, event_kind) AS (VALUES
-  (0, 'new', NULL, 'DRAFT', 'INITIAL_DRAFT'),
-  (1, 'new', NULL, 'PUBLISH', 'INITIAL_PUBLISH'),
-  (2, 'edit', 'DRAFT', 'DRAFT', 'SAVE_DRAFT'),
-  (3, 'edit', 'DRAFT', 'PUBLISH', 'PUBLISH_FROM_DRAFT'),
-  (4, 'edit', 'PUBLISH', 'PUBLISH', 'UPDATE_PUBLISHED'),
-  (5, 'edit', 'PUBLISH', 'DRAFT,PUBLISH', 'ADD_DRAFT_TO_PUBLISHED'),
-  (6, 'edit', 'DRAFT,PUBLISH', 'PUBLISH', 'DISCARD_DRAFT_ON_PUBLISHED'),
-  (7, 'edit', 'PUBLISH', 'DRAFT', 'UNPUBLISH_TO_DRAFT'),
-  (8, 'edit', 'PUBLISH', 'CLOSED', 'UNPUBLISH_TO_CLOSED'),
-  (9, 'edit', 'CLOSED', 'DRAFT', 'REOPEN_TO_DRAFT'),
-  (10, 'edit', 'CLOSED', 'PUBLISH', 'REPUBLISH_FROM_CLOSED'),
-  (11, 'delete', 'DRAFT', NULL, 'DELETE_DRAFT'),
-  (12, 'delete', 'PUBLISH', NULL, 'DELETE_PUBLISHED'),
-  (13, 'delete', 'DRAFT,PUBLISH', NULL, 'DELETE_PUBLISHED'),
-  (14, 'delete', 'CLOSED', NULL, 'DELETE_CLOSED'),
-  (15, 'edit', 'PUBLISH', 'CLOSED,DRAFT', NULL),
-  (16, 'edit', 'PUBLISH', 'ARCHIVED', NULL)
+states(state_no, csv) AS (
+  VALUES (0, NULL), (1, 'DRAFT'), (2, 'PUBLISH'), (3, 'DRAFT,PUBLISH'), (4, 'CLOSED'), (5, 'CLOSED,DRAFT')
+),
+meanings AS (
+  SELECT state_no, csv, CASE WHEN csv LIKE '%PUBLISH' THEN 'P' WHEN csv = 'DRAFT' THEN 'D' WHEN csv = 'CLOSED' THEN 'C'
+    ELSE '-' END AS sense
+  FROM states
+),
+types(type_no, event_type) AS (VALUES (0, 'delete'), (1, 'edit'), (2, 'new')),
+names(event_type, turn, kind) AS (
+  VALUES ('delete', 'C-', 'DELETE_CLOSED'), ('delete', 'D-', 'DELETE_DRAFT'), ('delete', 'P-', 'DELETE_PUBLISHED'),
+    ('new', '-D', 'INITIAL_DRAFT'), ('new', '-P', 'INITIAL_PUBLISH'), ('edit', 'DD', 'SAVE_DRAFT'),
+    ('edit', 'DP', 'PUBLISH_FROM_DRAFT'), ('edit', 'PD', 'UNPUBLISH_TO_DRAFT'), ('edit', 'PC', 'UNPUBLISH_TO_CLOSED'),
+    ('edit', 'CD', 'REOPEN_TO_DRAFT'), ('edit', 'CP', 'REPUBLISH_FROM_CLOSED'), ('edit', 'PP', 'UPDATE_PUBLISHED')
+),
+matrix AS (
+  SELECT (b.state_no * 6 + a.state_no) * 3 + type_no AS row_no, event_type, b.csv AS old_status, a.csv AS new_status,
+    CASE WHEN kind = 'UPDATE_PUBLISHED' AND length(a.csv) > length(b.csv) THEN 'ADD_DRAFT_TO_PUBLISHED'
+         WHEN kind = 'UPDATE_PUBLISHED' AND length(a.csv) < length(b.csv) THEN 'DISCARD_DRAFT_ON_PUBLISHED'
+         ELSE kind END AS event_kind
+  FROM meanings b CROSS JOIN meanings a CROSS JOIN types
+  LEFT JOIN names USING (event_type) WHERE turn IS NULL OR turn = b.sense || a.sense
+  UNION ALL
+  SELECT (b.state_no * 6 + a.state_no) * 3 + type_no, t.event_type, b.csv, a.csv, NULL
+  FROM meanings b CROSS JOIN meanings a CROSS JOIN types t
+  WHERE NOT EXISTS (FROM names n WHERE n.event_type = t.event_type AND n.turn = b.sense || a.sense)
 )"""
 
 EV = f"""
@@ -59,7 +69,7 @@ ev AS (
     CASE WHEN m.new_status IN ('PUBLISH', 'DRAFT,PUBLISH')
       THEN e.ts - to_seconds(e.event_id * 104729 % 172800) END AS content_published_at,
     CAST(e.ts + INTERVAL 9 HOURS AS DATE) AS dt
-  FROM events e JOIN matrix m ON e.event_id % 17 = m.row_no
+  FROM events e JOIN matrix m ON e.event_id % 108 = m.row_no
 )"""
 
 
@@ -92,7 +102,7 @@ EV_WITH_BODY AS (
               || ',"publishedAt":' || {_stamp("content_published_at")} || '}}' END
          || ',"draftValue":' || CASE WHEN draft_created_at IS NULL THEN 'null' ELSE
               '{{"createdAt":' || {_stamp("draft_created_at")} || '}}' END
-         || ',"fields":' || props || '}}' END
+         || ',"fields":' || CASE WHEN event_id % 7 = 0 THEN '{{"a":1,"a":' || props || '}}' ELSE props END || '}}' END
     || '}}}}' AS raw_payload
   FROM ev
 )"""
@@ -114,6 +124,7 @@ damaged AS (
       WHEN event_id % 31 = 0 THEN encode(raw_payload) || unhex('ff')
       WHEN event_id % 23 = 0 THEN encode(raw_payload[:-2])
       WHEN event_id % 37 = 0 THEN encode('{{"service":5' || raw_payload[instr(raw_payload, ',"api":'):])
+      WHEN event_id % 41 = 0 THEN encode('{{"service":null,' || raw_payload[2:])
       ELSE encode(raw_payload)
     END AS body
   FROM EV_WITH_BODY
@@ -137,10 +148,10 @@ REASON = """CASE
   WHEN event_id % 29 = 0 THEN 'missing_signature'
   WHEN event_id % 19 = 0 THEN 'invalid_signature'
   WHEN event_id % 31 = 0 THEN 'invalid_body'
-  WHEN event_id % 23 = 0 OR event_id % 37 = 0 THEN 'parse_error' END"""
+  WHEN event_id % 23 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0 THEN 'parse_error' END"""
 CLASS = """CASE
   WHEN event_id % 29 = 0 OR event_id % 19 = 0 THEN 401
-  WHEN event_id % 31 = 0 OR event_id % 23 = 0 OR event_id % 37 = 0 THEN 400 END"""
+  WHEN event_id % 31 = 0 OR event_id % 23 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0 THEN 400 END"""
 
 EVENT_COLUMNS = """received_at, service, api, content_id, event_type, event_kind, old_status, new_status,
   old_updated_at, new_updated_at, draft_created_at, content_created_at, content_published_at, raw_payload, dt"""
@@ -186,19 +197,22 @@ SELECT strftime(c.dt, '%Y-%m-%d') || 'T00:00:00+09:00' AS time,
 FROM calendar c LEFT JOIN ev ON ev.dt = c.dt GROUP BY c.dt"""
 
 
+# Which kinds are publications, leave a content published, or change its state at all.
+PUBLICATIONS = ["PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "REPUBLISH_FROM_CLOSED"]
+PUBLISHED = [*PUBLICATIONS, "UPDATE_PUBLISHED"]
+ARRIVALS = [*PUBLISHED, "INITIAL_DRAFT", "SAVE_DRAFT", "UNPUBLISH_TO_DRAFT", "UNPUBLISH_TO_CLOSED", "REOPEN_TO_DRAFT"]
+
+
 def _summary(condition: str) -> str:
-    published = ["PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "UPDATE_PUBLISHED", "REPUBLISH_FROM_CLOSED"]
-    others = ["INITIAL_DRAFT", "SAVE_DRAFT", "UNPUBLISH_TO_DRAFT", "UNPUBLISH_TO_CLOSED", "REOPEN_TO_DRAFT"]
-    return f"""{EVENTS}, totals AS (
-  SELECT
-    {_sum_if(_is_kind("PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "REPUBLISH_FROM_CLOSED"), "publish_count")},
-    {_sum_if(_is_kind(*published), "published_state_count")},
-    {_sum_if(_is_kind(*published, *others), "state_arrival_count")}
-  FROM ev WHERE {condition}
-)
-SELECT *, CASE WHEN state_arrival_count = 0 THEN NULL
-  ELSE published_state_count::DOUBLE / state_arrival_count END AS published_state_rate
-FROM totals"""
+    def counted(kinds: list[str]) -> str:
+        return f"count(*) FILTER (list_contains({kinds}, event_kind))"
+
+    return f"""{EVENTS}
+SELECT {counted(PUBLICATIONS)} AS publish_count, {counted(PUBLISHED)} AS published_state_count,
+  {counted(ARRIVALS)} AS state_arrival_count,
+  avg(list_contains({PUBLISHED}, event_kind)::INT) FILTER (list_contains({ARRIVALS}, event_kind))
+    AS published_state_rate
+FROM ev WHERE {condition}"""
 
 
 def _activity(api: str = "api") -> str:
@@ -237,34 +251,37 @@ def _unit(unit: str, seconds: str, samples: str) -> str:
     return _both_units(null, f"{seconds}::DOUBLE / ({samples} * 3600.0::DOUBLE)")
 
 
+def _lead(later: str, earlier: str) -> str:
+    """Whole seconds between two clock readings, both cut to the second."""
+    return f"(epoch_us(date_trunc('second', {later})) - epoch_us(date_trunc('second', {earlier}))) // 1000000"
+
+
 def _time_to_publish(unit: str) -> str:
-    return f"""{EVENTS}
-SELECT api, {_unit(unit, "sum(date_diff('second', content_created_at, content_published_at))", "count(*)")}
-FROM ev
-WHERE {IN_RANGE} AND {_is_kind("PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "REPUBLISH_FROM_CLOSED")}
-  AND content_created_at IS NOT NULL AND content_published_at IS NOT NULL
-  AND content_published_at >= content_created_at
-GROUP BY api"""
+    return f"""{EVENTS}, leads AS (
+  SELECT api, {_lead("content_published_at", "content_created_at")} AS seconds,
+    content_published_at - content_created_at AS apart
+  FROM ev WHERE {IN_RANGE} AND list_contains({PUBLICATIONS}, event_kind)
+)
+SELECT api, {_unit(unit, "sum(seconds)", "count(seconds)")} FROM leads WHERE apart >= INTERVAL 0 SECONDS GROUP BY api"""
 
 
 def _draft_to_publish(unit: str) -> str:
-    return f"""{EVENTS},
-drafts AS (
-  SELECT api, content_id, min(draft_created_at) AS draft_at FROM ev
-  WHERE event_kind = 'INITIAL_DRAFT' AND content_id IS NOT NULL AND draft_created_at IS NOT NULL
-  GROUP BY api, content_id
-),
-publications AS (
-  SELECT api, content_id, min(content_published_at) AS published_at FROM ev
-  WHERE {IN_RANGE} AND event_kind = 'PUBLISH_FROM_DRAFT' AND content_id IS NOT NULL
-    AND content_published_at IS NOT NULL
-  GROUP BY api, content_id
+    """The first draft and the first publication of each content by rank, side by side."""
+    return f"""{EVENTS}, steps AS (
+  SELECT api, content_id, 'draft' AS step, draft_created_at AS moment FROM ev WHERE event_kind = 'INITIAL_DRAFT'
+  UNION ALL
+  SELECT api, content_id, 'publication', content_published_at FROM ev
+  WHERE event_kind = 'PUBLISH_FROM_DRAFT' AND {IN_RANGE}
+), firsts AS (
+  SELECT * FROM steps WHERE api IS NOT NULL AND content_id IS NOT NULL AND moment IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY api, content_id, step ORDER BY moment) = 1
+), paired AS (
+  SELECT api, content_id, any_value(moment) FILTER (step = 'draft') AS draft_at,
+    any_value(moment) FILTER (step = 'publication') AS published_at
+  FROM firsts GROUP BY api, content_id
 )
-SELECT d.api, {_unit(unit, "sum(date_diff('second', draft_at, published_at))", "count(*)")},
-  count(*)::BIGINT AS sample_count
-FROM drafts d JOIN publications p ON d.api = p.api AND d.content_id = p.content_id
-WHERE published_at >= draft_at
-GROUP BY d.api"""
+SELECT api, {_unit(unit, f"sum({_lead('published_at', 'draft_at')})", "count(*)")}, count(*)::BIGINT AS sample_count
+FROM paired WHERE draft_at <= published_at GROUP BY api"""
 
 
 def _bands(report: str, column: str, low: float, high: float) -> str:
@@ -290,12 +307,11 @@ FROM ev WHERE {IN_RANGE} GROUP BY ALL""",
 SELECT 'service=' || service || '/api=' || api || '/dt=' || strftime(dt, '%Y-%m-%d') AS partition_path,
   event_count FROM stored""",
     "sharded_write": f"""{EVENTS}, stored AS ({STORED_DAYS})
-SELECT service, api, dt, ((event_count + 24) // 25)::BIGINT AS file_count, event_count,
-  least(event_count, 25)::BIGINT AS largest_file_events FROM stored""",
+SELECT service, api, dt, event_count, true AS files_are_small FROM stored""",
     "overwrite_write": f"{EVENTS} SELECT dt, count(*)::BIGINT AS event_count FROM ev GROUP BY dt",
     "partition_inventory": f"""{EVENTS}, stored AS ({STORED_DAYS})
-SELECT sum(event_count)::BIGINT AS event_count, count(*)::BIGINT AS file_count,
-  count(*)::BIGINT AS partition_count, min(dt) AS first_day, max(dt) AS last_day FROM stored""",
+SELECT sum(event_count)::BIGINT AS event_count, count(*)::BIGINT AS partition_count,
+  min(dt) AS first_day, max(dt) AS last_day, true AS has_files FROM stored""",
     "raw_webhooks": f"""{WEBHOOKS}
 SELECT received_at, signature, sha256(body) AS body_sha256, octet_length(body)::BIGINT AS body_bytes FROM wh""",
     "verify_signature": """SELECT event_id,
@@ -318,13 +334,10 @@ FROM wh WHERE NOT ({ACCEPTED})""",
   CASE WHEN page_id % 10 = 0 THEN 'unknown' ELSE regexp_replace(url, '[/=?#\[\] ]', '_', 'g') END
     AS partition_value
 FROM pages""",
-    "jst_day_bounds": f"""{EVENTS}, bounds AS (
-  SELECT CAST(epoch_ms(1704423600000) + INTERVAL 9 HOURS AS DATE) AS first_day,
-         CAST(epoch_ms(1706106600000) + INTERVAL 9 HOURS AS DATE) AS last_day
-)
+    "jst_day_bounds": f"""{EVENTS}
 SELECT dt, count(*)::BIGINT AS event_count, min(received_at) AS first_received_at,
   max(received_at) AS last_received_at
-FROM ev, bounds WHERE dt BETWEEN first_day AND last_day GROUP BY dt""",
+FROM ev WHERE list_contains(range(DATE '2024-01-05', DATE '2024-01-25', INTERVAL 1 DAY), dt::TIMESTAMP) GROUP BY dt""",
     "calendar_heatmap": _calendar(FIRST, LAST),
     "calendar_heatmap_quiet_days": _calendar(WIDE_FIRST, WIDE_LAST),
     "publish_action_summary": _summary(IN_RANGE),

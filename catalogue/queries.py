@@ -73,7 +73,7 @@ def _landed_webhooks(spark: SparkSession, sf_dir: str) -> str:
         F.create_map(F.lit("Content-Type"), F.lit("application/json"), name, F.col("signature")),
     ).otherwise(F.create_map(F.lit("Content-Type"), F.lit("application/json")))
     landed = sample.webhooks(spark, sf_dir).select("event_id", "body", headers.alias("headers"), "received_at")
-    return _once(spark, sf_dir, "landed", landed.repartition(8).write.parquet)
+    return _once(spark, sf_dir, "landed", landed.write.parquet)
 
 
 LANDED_SCHEMA = T.StructType(
@@ -122,7 +122,8 @@ def partition_layout(spark, sf_dir):
 def sharded_write(spark, sf_dir):
     root = scratch_path(spark, "sharded")
     S.write_events(_events(spark, sf_dir), root, rows_per_file=ROWS_PER_FILE)
-    return N.partition_inventory(spark, root)
+    small = F.col("largest_file_events") <= ROWS_PER_FILE
+    return N.partition_inventory(spark, root).select(*PARTITION_COLUMNS, "event_count", small.alias("files_are_small"))
 
 
 def overwrite_write(spark, sf_dir):
@@ -134,16 +135,23 @@ def overwrite_write(spark, sf_dir):
 
 
 def partition_inventory(spark, sf_dir):
-    return N.table_summary(spark, _event_table(spark, sf_dir))
+    """What the table holds, and that each partition has a file: more than one only where it is large."""
+    enough = (F.col("file_count") >= F.col("partition_count")).alias("has_files")
+    kept = ["event_count", "partition_count", "first_day", "last_day"]
+    return N.table_summary(spark, _event_table(spark, sf_dir)).select(*kept, enough)
 
 
 def union_by_name_scan(spark, sf_dir):
-    """Three writers: one complete, one without columns, one with its all-NULL columns as INT."""
+    """Four writers: complete, without columns, all-NULL columns as INT, and an all-NULL api as INT.
+
+    The last one's folders name service and api as well, as the event table's do.
+    """
     root = scratch_path(spark, "drifting")
     values = {name: partition_value(F.col(name)) for name in ("service", "api")}
     events = _events(spark, sf_dir).withColumns(values)
-    created = events.where("event_type = 'new'").drop("old_status", "old_updated_at")
-    deleted = events.where("event_type = 'delete'").withColumns(
+    fresh, gone = "event_type = 'new' AND old_status IS NULL", "event_type = 'delete' AND new_status IS NULL"
+    created = events.where(fresh).drop("old_status", "old_updated_at")
+    deleted = events.where(gone).withColumns(
         {
             name: F.lit(None).cast("int")
             for name in (
@@ -155,9 +163,16 @@ def union_by_name_scan(spark, sf_dir):
             )
         }
     )
-    for part in (events.where("event_type = 'edit'"), created, deleted):
-        part.repartition("dt").write.mode("append").partitionBy("dt").parquet(root)
-    return E.union_by_name_scan(spark, root)
+    for part in (events.where(f"NOT ({fresh} OR {gone})"), created, deleted):
+        part.where("api <> 'unknown'").hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(
+            f"{root}/dated"
+        )
+    named = events.where("api = 'unknown'").withColumn("api", F.lit(None).cast("int"))
+    for service in ("svc-0", "svc-1", "svc-2"):
+        for_path = named.where(F.col("service") == service)
+        folder = f"{root}/named/service={service}/api=unknown"
+        for_path.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(folder)
+    return E.union_by_name_scan(spark, f"{root}/dated").unionByName(E.union_by_name_scan(spark, f"{root}/named"))
 
 
 # --- ingest -------------------------------------------------------------------------------------

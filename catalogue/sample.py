@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from slugline.functions.days import business_day
+from slugline.functions.lifecycle import event_kind
 from slugline.functions.signature import hmac_sha256_hex
 from slugline.schema import EVENT_COLUMNS
 
@@ -16,26 +17,11 @@ SECRET = b"catalogue-signing-key"
 OTHER_SECRET = b"somebody-else"
 APIS = ("blogs", "news", "pages", "authors", "papers")
 
-# Fixed values: (event type, old statuses, new statuses, expected kind) by event_id mod 17.
-TRANSITIONS = (
-    ("new", None, "DRAFT", "INITIAL_DRAFT"),
-    ("new", None, "PUBLISH", "INITIAL_PUBLISH"),
-    ("edit", "DRAFT", "DRAFT", "SAVE_DRAFT"),
-    ("edit", "DRAFT", "PUBLISH", "PUBLISH_FROM_DRAFT"),
-    ("edit", "PUBLISH", "PUBLISH", "UPDATE_PUBLISHED"),
-    ("edit", "PUBLISH", "DRAFT,PUBLISH", "ADD_DRAFT_TO_PUBLISHED"),
-    ("edit", "DRAFT,PUBLISH", "PUBLISH", "DISCARD_DRAFT_ON_PUBLISHED"),
-    ("edit", "PUBLISH", "DRAFT", "UNPUBLISH_TO_DRAFT"),
-    ("edit", "PUBLISH", "CLOSED", "UNPUBLISH_TO_CLOSED"),
-    ("edit", "CLOSED", "DRAFT", "REOPEN_TO_DRAFT"),
-    ("edit", "CLOSED", "PUBLISH", "REPUBLISH_FROM_CLOSED"),
-    ("delete", "DRAFT", None, "DELETE_DRAFT"),
-    ("delete", "PUBLISH", None, "DELETE_PUBLISHED"),
-    ("delete", "DRAFT,PUBLISH", None, "DELETE_PUBLISHED"),
-    ("delete", "CLOSED", None, "DELETE_CLOSED"),
-    ("edit", "PUBLISH", "CLOSED,DRAFT", None),
-    ("edit", "PUBLISH", "ARCHIVED", None),
-)
+# Every state a content can have on either side of a change, under every type of event: the
+# whole decision table, by event_id, the states before slowest and the type fastest.
+STATES = (None, "DRAFT", "PUBLISH", "DRAFT,PUBLISH", "CLOSED", "CLOSED,DRAFT")
+TYPES = ("delete", "edit", "new")
+CHANGES = [(kind, before, after) for before in STATES for after in STATES for kind in TYPES]
 
 
 def _listed(values) -> str:
@@ -43,7 +29,7 @@ def _listed(values) -> str:
 
 
 def _transition(part: int) -> str:
-    return f"get({_listed(row[part] for row in TRANSITIONS)}, CAST(event_id % {len(TRANSITIONS)} AS INT))"
+    return f"get({_listed(row[part] for row in CHANGES)}, CAST(event_id % {len(CHANGES)} AS INT))"
 
 
 def _earlier(factor: int, modulus: int) -> str:
@@ -68,8 +54,8 @@ def content_events(spark: SparkSession, sf_dir: str, *, with_payload: bool = Tru
             f"{_transition(0)} AS event_type",
             f"{_transition(1)} AS old_status",
             f"{_transition(2)} AS new_status",
-            f"{_transition(3)} AS event_kind",
         )
+        .withColumn("event_kind", event_kind(F.col("event_type"), F.split("old_status", ","), F.split("new_status", ",")))
         .selectExpr(
             "*",
             "CASE WHEN old_status IS NOT NULL THEN received_at - INTERVAL 1 DAY END AS old_updated_at",
@@ -105,6 +91,10 @@ def _status(csv: str) -> str:
         ELSE concat('["', array_join(concat({backwards}, slice({backwards}, 1, 1)), '","'), '"]') END"""
 
 
+# Keys repeated inside free values are the sender's business.
+_INNER_REPEATS = """CASE WHEN event_id % 7 = 0 THEN concat('{"a":1,"a":', props, '}') ELSE props END"""
+
+
 def _json(fields: dict[str, str]) -> str:
     """A JSON object out of key and value expressions."""
     pairs = ", ',', ".join(f"'\"{key}\":', {value}" for key, value in fields.items())
@@ -124,7 +114,7 @@ def _payload_text() -> str:
             "updatedAt": _stamp("new_updated_at"),
             "publishValue": f"CASE WHEN published THEN {published} ELSE 'null' END",
             "draftValue": f"CASE WHEN drafted THEN {drafted} ELSE 'null' END",
-            "fields": "props",
+            "fields": _INNER_REPEATS,
         }
     )
     contents = _json({"old": f"coalesce({old}, 'null')", "new": f"coalesce({new}, 'null')"})
@@ -140,7 +130,7 @@ def _payload_text() -> str:
 
 
 # Planted faults, by divisor of event_id; the first that matches wins.
-NO_SIGNATURE, WRONG_KEY, BAD_UTF8, CUT_SHORT, NUMERIC_SERVICE = 29, 19, 31, 23, 37
+NO_SIGNATURE, WRONG_KEY, BAD_UTF8, CUT_SHORT, NUMERIC_SERVICE, SERVICE_TWICE = 29, 19, 31, 23, 37, 41
 
 
 def webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +142,8 @@ def webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
             THEN CAST(left(raw_payload, length(raw_payload) - 1) AS BINARY)
         WHEN event_id % {NUMERIC_SERVICE} = 0
             THEN CAST(concat('{{"service":5', substr(raw_payload, instr(raw_payload, ',"api":'))) AS BINARY)
+        WHEN event_id % {SERVICE_TWICE} = 0
+            THEN CAST(concat('{{"service":null,', substr(raw_payload, 2)) AS BINARY)
         ELSE CAST(raw_payload AS BINARY) END"""
     digest = F.when(F.expr(f"event_id % {WRONG_KEY} = 0"), hmac_sha256_hex(F.col("body"), OTHER_SECRET))
     signature = f"""CASE

@@ -1 +1 @@
-"""Column expressions: no UDFs, so everything stays inside whole-stage codegen."""
+"""Column expressions: no UDFs. Those that walk arrays or maps run outside whole-stage codegen."""

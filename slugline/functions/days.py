@@ -32,4 +32,9 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 def utc_text(instant: Column) -> Column:
     """`2026-06-29T13:30:45Z`, cut to the second."""
-    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.date_format(utc_clock(instant), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def utc_clock(instant: Column) -> Column:
+    """The instant as a UTC clock reads it, a timestamp without a zone: no session zone changes it."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))

@@ -16,6 +16,14 @@ PAYLOAD = (
     f" contents: struct<old: {_OLD}, new: {_NEW}>>"
 )
 ENVELOPE_FIELDS = ("service", "api", "id", "type", "contents")
+CONTENT_SIDES = ("old", "new")
+# The parser's limits lie beyond what a column value can hold, and its leniencies are off.
+PARSER = {
+    "maxStringLen": "2147483647",
+    "maxNumLen": "2147483647",
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 
 
 def parse_sealed(text: Column, seal: Column) -> Column:
@@ -26,7 +34,24 @@ def parse_sealed(text: Column, seal: Column) -> Column:
     into a check with a single parse. `seal` must be plain text the document cannot contain,
     such as a keyed digest of it.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]')))
+    return F.from_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]')), "variant", PARSER)
+
+
+def _repeats(keys: Column, names: tuple[str, ...]) -> Column:
+    named = F.filter(keys, lambda key: key.isin(*names))
+    return F.size(named) > F.size(F.array_distinct(named))
+
+
+def repeats_envelope_key(text: Column) -> Column:
+    """Whether a field of the envelope, or a side of its contents, is given twice.
+
+    Keys that repeat anywhere else are free values of the sender: the last one counts.
+    """
+    contents = F.json_object_keys(F.get_json_object(text, "$.contents"))
+    repeated = _repeats(F.json_object_keys(text), ENVELOPE_FIELDS) | F.coalesce(
+        _repeats(contents, CONTENT_SIDES), F.lit(False)
+    )
+    return F.coalesce(repeated, F.lit(False))
 
 
 def sealed_by(parsed: Column, seal: Column) -> Column:

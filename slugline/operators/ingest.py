@@ -71,6 +71,7 @@ def _reject_reason() -> Column:
     well_formed = P.sealed_by(F.col("_parsed"), F.col("_digest")) & P.has_envelope_types(
         F.col("_parsed"), F.col("_payload")
     )
+    well_formed &= ~P.repeats_envelope_key(F.col("_text"))
     return (
         F.when(F.col("_header").isNull(), MISSING_SIGNATURE)
         .when(~signature_matches(F.col("_digest"), F.col("_header")), INVALID_SIGNATURE)

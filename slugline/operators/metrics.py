@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from slugline.functions.days import seconds_between, utc_text
 from slugline.operators import counts as C
 from slugline.plans.params import DurationUnit, TimeRange, checked_limit
-from slugline.schema import EDIT, NEW, PUBLISH_ACTIONS
+from slugline.schema import EDIT, NEW, PUBLISH_ACTIONS, STATE_ARRIVALS
 
 
 def calendar_heatmap(events: DataFrame, span: TimeRange) -> DataFrame:
@@ -21,7 +21,8 @@ def calendar_heatmap(events: DataFrame, span: TimeRange) -> DataFrame:
 
 def publish_action_summary(events: DataFrame, span: TimeRange) -> DataFrame:
     """One row: publish actions, arrivals in the published state, all arrivals, and their ratio."""
-    return C.publish_summary_of(C.count_events(events, span, "event_kind"))
+    arrivals = events.where(F.col("event_kind").isin(*STATE_ARRIVALS))
+    return C.publish_summary_of(C.count_events(arrivals, span, "event_kind"))
 
 
 def publish_action_trend(events: DataFrame, span: TimeRange) -> DataFrame:

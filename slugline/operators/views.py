@@ -57,7 +57,8 @@ def operation_category_breakdown(activity: DataFrame) -> DataFrame:
 
 def top_updated_view(top: DataFrame) -> DataFrame:
     """Most updated contents with the count renamed and the time also in dashboard-local form."""
-    local = F.to_timestamp("last_event_at") + F.make_dt_interval(secs=F.lit(DAY_OFFSET_SECONDS))
+    utc = F.to_timestamp_ntz("last_event_at", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    local = utc + F.make_dt_interval(secs=F.lit(DAY_OFFSET_SECONDS))
     return top.select(
         "api",
         "content_id",

@@ -50,6 +50,16 @@ class TimeRange:
     from_ms: int
     to_ms: int
 
+    def __post_init__(self):
+        try:
+            business_date(self.from_ms), business_date(self.to_ms)
+        except OverflowError:
+            raise InvalidParameter(NOT_AN_INSTANT) from None
+        if self.from_ms > self.to_ms:
+            raise InvalidParameter(WRONG_ORDER)
+        if self.to_ms - self.from_ms > MAX_SPAN_DAYS * MS_PER_DAY:
+            raise InvalidParameter(TOO_LONG)
+
     @classmethod
     def of(
         cls, from_ms: int | None = None, to_ms: int | None = None, clock: Callable[[], int] = now_ms
@@ -59,14 +69,6 @@ class TimeRange:
             return cls(end - DEFAULT_SPAN_DAYS * MS_PER_DAY, end)
         if from_ms is None or to_ms is None:
             raise InvalidParameter(BOTH_OR_NEITHER)
-        try:
-            business_date(from_ms), business_date(to_ms)
-        except OverflowError:
-            raise InvalidParameter(NOT_AN_INSTANT) from None
-        if from_ms > to_ms:
-            raise InvalidParameter(WRONG_ORDER)
-        if to_ms - from_ms > MAX_SPAN_DAYS * MS_PER_DAY:
-            raise InvalidParameter(TOO_LONG)
         return cls(from_ms, to_ms)
 
     @classmethod

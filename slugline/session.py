@@ -7,7 +7,11 @@ from pyspark.sql import SparkSession
 # Everything that renders or parses a timestamp assumes UTC. Small post-shuffle partitions are
 # kept apart down to 64 kB because the cost of a partitioned write is per file, not per byte.
 # HotSpot does not compile methods above 8,000 bytes, so larger generated ones are split instead.
+# Senders repeat keys inside free values; the last one counts. The secret's padded keys are
+# literals of exactly one SHA-256 block, which explain() and the UI must not show.
 SESSION_SETTINGS = {
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.redaction.string.regex": "0x[0-9A-Fa-f]{128}|X'[0-9A-Fa-f]{128}'",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -2,18 +2,17 @@
 
 import json
 
-import pytest
 from builders import at, day, days, events, rows
 
 from slugline.operators import metrics as M
 from slugline.operators import views as V
 from slugline.operators.export import json_document, json_rows
 from slugline.plans.dashboard import activity_cube, content_panels, count_panels
-from slugline.plans.params import DurationUnit, InvalidParameter
+from slugline.plans.params import DurationUnit
 from slugline.schema import EVENT_KINDS
 
 DAYS, HOURS = DurationUnit.DAYS, DurationUnit.HOURS
-PFD, IP, RFC, UP = "PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "REPUBLISH_FROM_CLOSED", "UPDATE_PUBLISHED"
+PFD, IP = "PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH"
 
 
 def kinds_on(spark, *pairs):
@@ -29,28 +28,6 @@ def test_calendar(spark):
     ]
 
 
-def test_summary(spark):
-    inside = [PFD, IP, RFC, UP, "INITIAL_DRAFT", "SAVE_DRAFT", "UNPUBLISH_TO_DRAFT", "UNPUBLISH_TO_CLOSED",
-              "REOPEN_TO_DRAFT", "ADD_DRAFT_TO_PUBLISHED", "DISCARD_DRAFT_ON_PUBLISHED", "DELETE_DRAFT", None]
-    table = kinds_on(spark, *[("06-30", kind) for kind in inside], ("06-29", PFD), ("07-01", PFD))
-    assert rows(M.publish_action_summary(table, days("06-30", "06-30"))) == [(3, 4, 9, 4 / 9)]
-
-
-def test_summary_without_arrivals(spark):
-    table = kinds_on(spark, ("06-30", "ADD_DRAFT_TO_PUBLISHED"), ("06-30", "DELETE_PUBLISHED"))
-    assert rows(M.publish_action_summary(table, days("06-30", "06-30"))) == [(0, 0, 0, None)]
-    assert rows(M.publish_action_summary(table, days("08-01", "08-01"))) == [(0, 0, 0, None)]
-
-
-def test_trend(spark):
-    table = kinds_on(spark, ("06-29", PFD), ("06-29", IP), ("06-30", UP), ("07-01", RFC), ("07-02", PFD))
-    assert [row[1:] for row in rows(M.publish_action_trend(table, days("06-29", "07-01")))] == [
-        (1, 1, 0, 2),
-        (0, 0, 0, 0),
-        (0, 0, 1, 1),
-    ]
-
-
 def test_activity_order_and_unknown_kinds(spark):
     table = events(
         spark,
@@ -63,59 +40,6 @@ def test_activity_order_and_unknown_kinds(spark):
     assert counted == [2, 0, 1, 0]
 
 
-def test_top_contents(spark):
-    def change(content_id, received, kind="edit", dt="06-30", api="blogs"):
-        return {"dt": day(dt), "received_at": at(received), "api": api, "content_id": content_id, "event_type": kind}
-
-    table = events(
-        spark,
-        change("one", "06-29 12:00:00"),
-        change("one", "06-29 13:30:45"),
-        change("one", "07-01 00:00:00", dt="07-01"),
-        change("old", "06-30 01:00:00.1", "new"),
-        change("new", "06-30 01:00:00.9"),
-        change("gone", "06-30 02:00:00", "delete"),
-        change(None, "06-30 02:00:00"),
-    )
-    report = rows(M.top_updated_contents(table, days("06-30", "06-30")))
-    assert report == [
-        ("blogs", "one", 2, "2026-06-29T13:30:45Z"),
-        ("blogs", "new", 1, "2026-06-30T01:00:00Z"),
-        ("blogs", "old", 1, "2026-06-30T01:00:00Z"),
-    ]
-    assert rows(M.top_updated_contents(table, days("06-30", "06-30"), limit=1)) == report[:1]
-    with pytest.raises(InvalidParameter):
-        M.top_updated_contents(table, days("06-30", "06-30"), limit=0)
-    view = rows(V.top_updated_view(M.top_updated_contents(table, days("06-30", "06-30"))))
-    assert view[0] == ("blogs", "one", 2, "2026-06-29T13:30:45Z", "2026-06-29 22:30:45")
-
-
-def test_time_to_publish(spark):
-    def published(api, kind, created, at_, dt="06-30"):
-        return {"dt": day(dt), "api": api, "event_kind": kind,
-                "content_created_at": at(created), "content_published_at": at_ and at(at_)}
-
-    table = events(
-        spark,
-        published("blogs", PFD, "06-29 00:00", "06-30 12:00"),
-        published("blogs", IP, "06-30 00:00", "06-30 12:00"),
-        published("blogs", RFC, "06-28 00:00", "06-30 12:00"),
-        published("blogs", PFD, "06-30 12:00", "06-30 11:00"),
-        published("blogs", PFD, "06-30 12:00", None),
-        published("blogs", UP, "06-20 12:00", "06-30 11:00"),
-        published("authors", IP, "06-30 00:00", "06-30 12:00"),
-        published("authors", IP, "06-01 00:00", "06-30 12:00", dt="06-29"),
-    )
-    span = days("06-30", "06-30")
-    in_days = M.average_time_to_publish(table, span)
-    assert rows(in_days) == [("blogs", 1.5, None), ("authors", 0.5, None)]
-    in_hours = M.average_time_to_publish(table, span, HOURS)
-    assert rows(in_hours) == [("blogs", None, 36.0), ("authors", None, 12.0)]
-    assert rows(V.duration_view(in_hours, HOURS)) == [("blogs", 36.0), ("authors", 12.0)]
-    assert [row[2] for row in rows(V.duration_bands(in_hours, HOURS))] == ["yellow", "green"]
-    assert [row[2] for row in rows(V.duration_bands(in_days, DAYS))] == ["yellow", "green"]
-
-
 def test_second_boundaries(spark):
     table = events(
         spark,
@@ -125,47 +49,6 @@ def test_second_boundaries(spark):
     assert rows(M.average_time_to_publish(table, days("06-30", "06-30"), HOURS)) == [("a", None, 1 / 3600)]
 
 
-def test_draft_to_publish(spark):
-    def draft(api, content_id, created, dt="06-01", kind="INITIAL_DRAFT"):
-        return {"dt": day(dt), "api": api, "content_id": content_id, "event_kind": kind,
-                "draft_created_at": at(created)}
-
-    def publication(api, content_id, published, dt="06-30", kind=PFD):
-        return {"dt": day(dt), "api": api, "content_id": content_id, "event_kind": kind,
-                "content_published_at": at(published)}
-
-    table = events(
-        spark,
-        draft("blogs", "five", "06-25 00:00"),
-        draft("blogs", "five", "06-26 00:00"),
-        publication("blogs", "five", "06-30 00:00"),
-        publication("blogs", "five", "06-30 09:00"),
-        draft("blogs", "two", "06-28 00:00"),
-        publication("blogs", "two", "06-30 00:00"),
-        draft("blogs", "never", "06-28 00:00"),
-        draft("blogs", "saved", "06-20 00:00", kind="SAVE_DRAFT"),
-        publication("blogs", "saved", "06-30 00:00"),
-        publication("blogs", "instant", "06-30 00:00", kind=IP),
-        draft("blogs", "instant", "06-29 00:00"),
-        draft("blogs", "outside", "06-20 00:00"),
-        publication("blogs", "outside", "06-29 00:00", dt="06-29"),
-        # Its first publication is too early, which a later one does not mend.
-        draft("blogs", "negative", "06-30 00:00"),
-        publication("blogs", "negative", "06-29 00:00"),
-        publication("blogs", "negative", "06-30 12:00"),
-        draft("authors", "five", "06-29 00:00"),
-        publication("authors", "five", "06-30 00:00"),
-        draft(None, "five", "06-01 00:00"),
-        publication(None, "five", "06-30 00:00"),
-    )
-    span = days("06-30", "06-30")
-    assert rows(M.average_draft_to_publish(table, span)) == [("blogs", 3.5, None, 2), ("authors", 1.0, None, 1)]
-    assert rows(M.average_draft_to_publish(table, span, HOURS)) == [
-        ("blogs", None, 84.0, 2),
-        ("authors", None, 24.0, 1),
-    ]
-
-
 def test_views(spark):
     table = kinds_on(spark, *[("06-30", kind) for kind in EVENT_KINDS], ("06-30", None))
     activity = M.api_activity(table, days("06-30", "06-30"))

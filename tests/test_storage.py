@@ -152,7 +152,7 @@ def test_files_that_lack_columns_or_store_nulls_as_ints(spark, tmp_path):
 
 
 def bodies():
-    texts = [payload("edit", '"DRAFT"', '"PUBLISH"'), payload("new", None, '"DRAFT"'), "{", "{}"]
+    texts = [payload("edit", "DRAFT", "PUBLISH", api="a b"), payload("new", None, "DRAFT", api="a b"), "{", "{}"]
     landed = [signed(text) for text in texts]
     return [*landed, (landed[0][0], None, landed[0][2]), (landed[0][0], "bad", landed[0][2])]
 
@@ -161,7 +161,7 @@ def test_batch_ingest_fills_both_tables(spark, tmp_path):
     root = str(tmp_path / "ingested")
     ingest_batch(deliveries(spark, *bodies()), SECRET, root)
     stored = E.scan_events(spark, S.events_root(root))
-    assert sorted(row.api for row in stored.collect()) == ["articles", "articles", "unknown"]
+    assert sorted(row.api for row in stored.collect()) == ["a_b", "a_b", "unknown"]
     rejected = E.scan_quarantine(spark, S.quarantine_root(root)).collect()
     assert sorted(row.reject_reason for row in rejected) == [
         I.INVALID_SIGNATURE,
