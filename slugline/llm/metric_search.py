@@ -182,7 +182,7 @@ def _opened(pages: pd.DataFrame) -> list[list[dict]]:
         for row in rows.sort_values("node").to_dict("records"):
             row["center"], row["reach"] = np.asarray(row["center"], float), np.asarray(row["reach"], float)
             row["ids"] = np.asarray(row["ids"], np.int64)
-            row["matrix"] = np.frombuffer(row["vectors"], np.int64).reshape(len(row["ids"]), -1)
+            row["matrix"] = np.frombuffer(row["vectors"], np.int64).reshape(len(row["ids"]), len(row["center"]) - 1)
             nodes.append(row)
         trees.append(nodes)
     return trees

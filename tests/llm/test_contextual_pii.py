@@ -1,0 +1,90 @@
+"""Personal data: fixed forms against plain expressions, patterns on planted contexts."""
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from slugline.llm import contextual_pii as P
+from slugline.llm.queries import op7_contextual_pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    told = []
+    for kind, form in PLAIN.items():
+        for m in re.finditer(form, text):
+            number = re.sub("[^0-9]", "", m[0])
+            doubled = [sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(number))]
+            good = {
+                "email": True,
+                "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")),
+                "card": 13 <= len(number) <= 19 and sum(doubled) % 10 == 0,
+                "phone": 9 <= len(number) <= 15,
+            }[kind]
+            if good:
+                told.append((kind, m.start(), m.end()))
+    return told
+
+
+def test_fixed_forms_of_random_texts():
+    source = random.Random(6)
+    parts = ["@", ".", "a", "b.c", "1", "25", "300", "+1", " ", "-", "(", ")", "é", "x@y.z", "4111 1111 1111 1111", "1.2.3.4", "+44 20 7946 0958"]
+    for n in (1, 3, 8, 20, 60, 200):
+        for _ in range(150):
+            text = "".join(source.choices(parts, k=n))
+            assert P.base_spans(text) == plain_spans(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 400_000, "1" * 400_000, "1." * 200_000, "a@" * 100_000, "+1 " * 100_000):
+        P.base_spans(text)
+
+
+def planted():
+    source = random.Random(8)
+    words = [f"w{chr(97 + k)}" for k in range(26)]
+    filler = lambda: " ".join(source.choices(words, k=30))
+    rows = []
+    for k in range(40):
+        number = f"+1 (555) 0{k:02d}-77{k:02d}"
+        rows.append((k, f"{filler()} call me: {number} {filler()}"))
+    rows.append((100, f"{filler()} call me: 0555-123-99{11} {filler()}"))
+    rows.append((101, f"{filler()} part number 0555-123-9911 {filler()}"))
+    return rows
+
+
+def test_patterns_find_unseen_identifiers_and_leave_the_rest(spark):
+    docs = spark.createDataFrame(planted(), "doc_id long, text string").withColumn("base", F.lit("x"))
+    found = {r.doc_id: r for r in P.find_personal_data(docs).collect()}
+    text = dict(planted())[100]
+    start = text.index("0555")
+    assert found[100].more == f"phone:{start}:{start + 13}"
+    assert found[101].more == "" and all(found[k].more == "" for k in range(40))
+    assert all(found[k].base.startswith("phone:") for k in range(40))
+
+
+def test_parts_of_the_patterns_give_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame(planted(), "doc_id long, text string")
+    patterns = P.learn_patterns(docs)
+    whole = sorted(map(tuple, P.find_personal_data(docs, patterns).collect()))
+    assert patterns.count() >= 2
+    monkeypatch.setattr(P, "PATTERNS_AT_ONCE", 1)
+    assert sorted(map(tuple, P.find_personal_data(docs, patterns).collect())) == whole
+    assert sorted(map(tuple, P.find_personal_data(docs).collect())) == whole
+
+
+def test_odd_rows(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "a@b.c 1.2.3.4"), (3, "a@b.c 1.2.3.4"), (None, "+1 234 567 8901")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(op7_contextual_pii(spark, str(tmp_path)).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
+    assert [r.spans for r in found] == ["", "", "email:0:5,ip:6:13", "email:0:5,ip:6:13", "phone:0:15"]
+    assert [(r.n_email, r.n_ip, r.n_card, r.n_phone) for r in found][2] == (1, 1, 0, 0)
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert P.find_personal_data(none).count() == 0
