@@ -10,6 +10,8 @@ LONG_WORDS = 50
 ONE_IN = 2
 # The rolling hash weighs the line before by this, so the order of two lines counts.
 WEIGHT = 31
+# Places of one chunk meet its first place in as many tasks as this.
+SALTS = 64
 
 
 def line_hash(line: Column) -> Column:
@@ -82,8 +84,8 @@ def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in
     line, kept; an empty table gives an empty one. Columns and their names don't matter.
 
     Only hashes of chunks are shuffled first, then the chunks whose hash is repeated, aggregated
-    before the shuffle, so a passage that a third of the documents share is no hot key; texts
-    meet the list of what they lose in one join, by document.
+    before the shuffle, so a passage that a third of the documents share is no hot key; its places
+    meet the first one in `SALTS` tasks; texts meet the list of what they lose in one join, by document.
     """
     texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     cut = texts.select("doc_id", "text_key", F.explode(chunks(F.col("text"), long_words, one_in)).alias("c"))
@@ -98,10 +100,17 @@ def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in
         "repeated_keys",
     )
     # The same plan at every size: keys and chunks are sorted and merged, never broadcast.
-    shared = written(candidates.join(again.hint("merge"), "key", "left_semi"), "repeated_chunks")
-    firsts = shared.groupBy("key", "chunk").agg(F.min(place).alias("first"))
+    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS))
+    shared = written(
+        candidates.join(again.hint("merge"), "key", "left_semi").withColumn("salt", salt), "repeated_chunks"
+    )
+    firsts = (
+        shared.groupBy("key", "chunk")
+        .agg(F.min(place).alias("first"), F.collect_set("salt").alias("salts"))
+        .select("key", "chunk", "first", F.explode("salts").alias("salt"))
+    )
     lost = (
-        shared.join(firsts.hint("merge"), ["key", "chunk"])
+        shared.join(firsts.hint("merge"), ["key", "chunk", "salt"])
         .where(~place.eqNullSafe(F.col("first")))
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("start").alias("lost"))
