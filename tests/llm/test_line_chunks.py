@@ -18,9 +18,16 @@ def plain_chunks(text, long_words, one_in):
         following = words[i + 1] if i + 1 < len(lines) else 0
         if i == len(lines) - 1 or rolled or words[i] >= long_words or following >= long_words:
             total = sum(words[start : i + 1])
-            removable = total >= long_words or (i > start and total > 0)
-            chunks.append((start, removable, "\n".join(lines[start : i + 1])))
+            if total >= long_words or (i > start and total > 0):
+                chunks.append((start, i, "\n".join(lines[start : i + 1])))
             start = i + 1
+    for i in range(len(lines)):
+        total, stop = words[i], i
+        while total < long_words and stop + 1 < len(lines):
+            stop += 1
+            total += words[stop]
+        if words[i] and total >= long_words and max(words[i : stop + 1]) < long_words:
+            chunks.append((i, stop, "\n".join(lines[i : stop + 1])))
     return chunks
 
 
@@ -28,17 +35,21 @@ def plain_dedup(rows, long_words=50, one_in=2):
     first = {}
     cut = {(d, t): plain_chunks(t, long_words, one_in) for d, t in rows if t is not None}
     for (d, _), chunks in cut.items():
-        for start, removable, chunk in chunks:
+        for start, _, chunk in chunks:
             place = (d is not None, d or 0, start)
-            if removable and (chunk not in first or place < first[chunk]):
+            if chunk not in first or place < first[chunk]:
                 first[chunk] = place
     told = []
     for d, t in rows:
         if t is None:
             told.append((d, None, 0))
             continue
-        stay = [c for s, r, c in cut[d, t] if not r or first[c] == (d is not None, d or 0, s)]
-        told.append((d, "\n".join(stay), len(cut[d, t]) - len(stay)))
+        gone = set()
+        for start, stop, chunk in cut[d, t]:
+            if first[chunk] != (d is not None, d or 0, start):
+                gone.update(range(start, stop + 1))
+        stay = [line for i, line in enumerate(t.split("\n")) if i not in gone]
+        told.append((d, "\n".join(stay), len(gone)))
     return told
 
 
@@ -70,6 +81,28 @@ def test_long_passages_go_wherever_they_stand(spark):
     assert all(f"end {k}" in found[k] and f"start {k} one" in found[k] for k in range(5))
 
 
+def test_passages_of_short_lines_go_wherever_they_stand(spark):
+    passages = [[f"p{p} line {k} " + "w " * size for k in range(n)] for p, (n, size) in enumerate([(2, 23), (3, 15), (9, 4)])]
+    rows = []
+    for k in range(30):
+        rows.append((k, "\n".join([f"start {k}", *passages[k % 3], f"end {k} one", f"end {k} two"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.row.doc_id: r.text for r in L.remove_repeated_chunks(docs).collect()}
+    for k in range(30):
+        assert all(line in found[k] for line in (f"start {k}", f"end {k} one", f"end {k} two"))
+        left = sum(line in found[k].split("\n") for line in passages[k % 3])
+        assert left == (len(passages[k % 3]) if k < 3 else 0), k
+
+
+def test_every_line_stays_somewhere(spark):
+    source = random.Random(4)
+    lines = [f"line {k} " + "w " * source.randrange(30) for k in range(12)]
+    rows = [(k, "\n".join(source.choices(lines, k=source.randrange(1, 12)))) for k in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = L.remove_repeated_chunks(docs).collect()
+    assert {x for _, t in rows for x in t.split("\n")} == {x for r in found for x in r.text.split("\n") if x}
+
+
 def test_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert L.remove_repeated_chunks(docs).count() == 0
