@@ -17,7 +17,9 @@ from slugline.llm.mixing import token_count
 
 DEPTH = 5  # bytes of context; a gram is these and the byte they predict
 TOP = 2  # contexts of so many bytes stay together in a task
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
+# Rows of an Arrow batch whose texts are Python objects at a time.
+ROWS_AT_ONCE = 256
 WORDS_HELD = 1 << 17
 # Entries of a look-up table that one broadcast may hold; a larger one takes several passes.
 TABLE_ENTRIES = 2_000_000
@@ -85,14 +87,15 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [(np.array([], np.int64), np.array([], np.int64))], 0
         for batch in batches:
-            learn = np.array(batch.column(1).to_pylist(), bool)
-            for grams, owner in gram_blocks([lower_bytes(t.as_py()) for t in batch.column(0)]):
-                # The lowest bit tells whether a text is learnt from, so one sort counts both.
-                seen, n = np.unique(grams << 1 | learn[owner], return_counts=True)
-                held.append((seen >> 1, np.where(seen & 1 == 1, n, 0)))
-                size += len(seen)
-                if size > 2 * BLOCK_BYTES:
-                    held, size = [sum_by_key(*map(np.concatenate, zip(*held, strict=True)))], 0
+            for part in (batch.slice(k, ROWS_AT_ONCE) for k in range(0, batch.num_rows, ROWS_AT_ONCE)):
+                learn = np.array(part.column(1).to_pylist(), bool)
+                for grams, owner in gram_blocks([lower_bytes(t.as_py()) for t in part.column(0)]):
+                    # The lowest bit tells whether a text is learnt from, so one sort counts both.
+                    seen, n = np.unique(grams << 1 | learn[owner], return_counts=True)
+                    held.append((seen >> 1, np.where(seen & 1 == 1, n, 0)))
+                    size += len(seen)
+                    if size > 2 * BLOCK_BYTES:
+                        held, size = [sum_by_key(*map(np.concatenate, zip(*held, strict=True)))], 0
         keys, counts = sum_by_key(*map(np.concatenate, zip(*held, strict=True)))
         for part in slices(len(keys), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(counts[part])], ["gram", "n"])
@@ -297,9 +300,10 @@ def add_sums(rows: DataFrame, table: DataFrame, measure: Measure, names: list[st
 
         def per_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sums = measure(batch.column("text").to_pylist(), *shared.value)
-                arrays = [batch.column(c) for c in kept] + [pa.array(x, pa.float64()) for x in sums]
-                yield pa.RecordBatch.from_arrays(arrays, [*kept, *names])
+                for part in (batch.slice(k, ROWS_AT_ONCE) for k in range(0, batch.num_rows, ROWS_AT_ONCE)):
+                    sums = measure(part.column("text").to_pylist(), *shared.value)
+                    arrays = [part.column(c) for c in kept] + [pa.array(x, pa.float64()) for x in sums]
+                    yield pa.RecordBatch.from_arrays(arrays, [*kept, *names])
 
         done.append(rows.select(*kept, "text").mapInArrow(per_batch, schema))
     if parts == 1:
