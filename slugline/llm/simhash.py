@@ -108,7 +108,11 @@ def one_of_each(docs: DataFrame, width: int = 5, max_bits: int = 3, segments: in
 
     All columns stay as they are. Of repeated rows one stays. A null doc_id comes first.
     """
-    found = near_duplicates(docs, width, max_bits, segments)
+    return first_of_each(docs, near_duplicates(docs, width, max_bits, segments))
+
+
+def first_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of `docs` that have the smallest (doc_id, text_key) of a component of `found`."""
     row = F.struct("doc_id", "text_key")
     kept = found.groupBy("component").agg(F.min(row).alias("keep"))
     counts = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
