@@ -25,6 +25,19 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` whose text has a letter."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [has_letter(text.as_py()) for text in batch.column(1)]
+            yield batch.select(["row"]).filter(pa.array(keep, pa.bool_()))
+
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(per_batch, f"row {kind}").select("row.*")
+
+
 def subword_buckets(text: str) -> Iterator[np.ndarray]:
     """Hash buckets of the byte n-grams of every word with its borders, piece by piece."""
     data = b" " + b" ".join(text.lower().encode("utf-8", "replace").split()) + b" "

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from slugline.llm import langid
 
 
@@ -39,3 +40,10 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
     model = langid.fit_languages(docs)
     assert [r.lang_pred for r in langid.predict_languages(docs, model).collect()] == ["und", "und"]
+
+
+def test_stage_keeps_texts_with_letters_when_no_row_has_a_label(spark):
+    rows = [(1, "clean text", None), (2, "日本語", None), (3, "12 _ 34", "en"), (4, "", None), (5, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("row", F.lit(1))
+    kept = corpus_pipeline.language(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2]
