@@ -113,11 +113,11 @@ def chunks(text: Column, long_words: int, one_in: int) -> Column:
 def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in: int = ONE_IN) -> DataFrame:
     """`docs` (doc_id, text, ...) in a struct `row`, with text and n_removed, its lines that went.
 
-    Of equal chunks anywhere in the table, the one of the smallest (doc_id, start) stays; the
+    Of equal chunks anywhere in the table, the one of the smallest (doc_id, hash of the text, start) stays; the
     lines of the others go with their ends. The first place of a line in the table is in no
     chunk that goes, so nothing is lost altogether. Hashes only preselect: chunks are equal when
     all their bytes are. Rows of the same doc_id and text are one document: they keep and lose the
-    same. A null doc_id comes first. Null texts stay null with no chunk; an empty text is one
+    same; rows of the same doc_id and other texts, null ids too, are others. A null doc_id comes first. Null texts stay null with no chunk; an empty text is one
     line, kept; an empty table gives an empty one. Columns and their names don't matter.
 
     Only hashes of chunks are shuffled first, then the chunks whose hash is repeated, aggregated
@@ -129,13 +129,13 @@ def remove_repeated_chunks(docs: DataFrame, long_words: int = LONG_WORDS, one_in
     candidates = cut.select("doc_id", "text_key", "c.*").withColumn("key", F.xxhash64("chunk"))
     places = candidates.select("key", "doc_id", "start", "text_key")
     # Two places at least: the smallest and the largest differ.
-    place = F.struct("doc_id", "start")
+    place = F.struct("doc_id", "text_key", "start")
     again = written(
         places.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("NOT (a <=> b)").select("key"),
         "repeated_keys",
     )
     # The same plan at every size: keys and chunks are sorted and merged, never broadcast.
-    salt = F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS))
+    salt = F.pmod(F.xxhash64("doc_id", "text_key", "start"), F.lit(SALTS))
     shared = written(
         candidates.join(again.hint("merge"), "key", "left_semi").withColumn("salt", salt), "repeated_chunks"
     )

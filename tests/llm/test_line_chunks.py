@@ -111,3 +111,12 @@ def test_nothing(spark):
 def test_no_python_on_the_way(spark, small):
     plan = L.remove_repeated_chunks(spark.read.parquet(f"{small}/documents.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_equal_or_null_ids_but_other_texts_are_other_documents(spark):
+    passage = " ".join(f"word{k}" for k in range(60))
+    rows = [(None, f"{passage}\nend {k}") for k in range(4)] + [(7, f"{passage}\nend {k}") for k in range(4, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r.text, r.n_removed) for r in L.remove_repeated_chunks(docs).collect()]
+    assert sorted(n for _, n in found) == [0] + [1] * 7 and sum(passage in text for text, _ in found) == 1
+    assert all(any(f"end {k}" in text for text, _ in found) for k in range(8))
