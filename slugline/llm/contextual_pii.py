@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -71,7 +72,8 @@ def base_spans(text: str) -> list[Span]:
 
 # --- candidates and their contexts -------------------------------------------------------------
 
-_TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*", re.A)
+_MARK = re.compile(r"[0-9@]|[\[(]at[\])]", re.A | re.I)
+_AT = frozenset(("@", "[at]", "(at)"))
 _EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>#$%&*|"
 # Shapes, looser than the fixed forms, that an identifier of a kind may have.
 _SHAPES = (
@@ -80,8 +82,24 @@ _SHAPES = (
     ("card", re.compile(r"[0-9]{4}(?:[./_-]?[0-9]{4}){2}(?:[./_-]?[0-9]{1,7})")),
     ("phone", re.compile(r"\(?0?[0-9]{2,5}\)?(?:[./-]?[0-9]{2,5}){1,4}")),
 )
+# Shapes of digit groups that blanks, brackets, dots and dashes join.
+_GAP = r"[\x20\t./_-]{0,3}"
+_SPREAD = (
+    ("card", re.compile(rf"[0-9]{{4}}{_GAP}(?:[0-9]{{4}}{_GAP}){{2}}[0-9]{{1,7}}|[0-9]{{4}}{_GAP}[0-9]{{6}}{_GAP}[0-9]{{5}}")),
+    ("phone", re.compile(rf"\+?\(?[0-9]{{1,5}}\)?(?:{_GAP}\(?[0-9]{{2,5}}\)?){{1,6}}")),
+)
+_GROUPS = re.compile(r"\+?\(?[0-9][0-9()./_-]*|[./-]", re.A)
 _BEFORE = re.compile(r"[^\x20\x09-\x0D]+")
+# A word that goes on in the identifier itself, as `tel:` in `tel:555-0100`, is cut to its end.
 CONTEXT_CHARS = 96
+# A round of learning that moves no score by more than this is the last.
+STILL = 1e-6
+
+
+def words_of(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of the words of a text."""
+    bounds = [m.span() for m in _BEFORE.finditer(text)]
+    return [a for a, _ in bounds], [b for _, b in bounds]
 
 
 def shape_of(token: str) -> str | None:
@@ -91,21 +109,87 @@ def shape_of(token: str) -> str | None:
     return None
 
 
-def candidate_spans(text: str, base: list[Span]) -> list[Span]:
-    """Tokens of a kind's shape that no base span touches."""
-    if not base and not _DIGIT.search(text) and "@" not in text:
+def spread_shape_of(span: str) -> str | None:
+    number = digits(span)
+    if not 7 <= len(number) <= 19:
+        return None
+    for kind, shape in _SPREAD:
+        if (kind == "card" or len(number) <= 15) and shape.fullmatch(span):
+            return kind
+    return None
+
+
+def candidate_spans(text: str, base: list[Span], words: tuple[list[int], list[int]] | None = None) -> list[Span]:
+    """What has a kind's shape and no base span touches: words, and digit groups or `[at]` among blanks.
+
+    Of the spans that start with a word the longest counts, so all digit groups of a number
+    belong to it; the next one starts behind it.
+    """
+    if not base and not _MARK.search(text):
         return []
     taken = sorted((a, b) for _, a, b in base)
-    found, k = [], 0
-    for m in _TOKEN.finditer(text):
-        token = m[0].rstrip(_EDGE)
-        end = m.start() + len(token)
-        start = end - len(token.lstrip(_EDGE))
+    starts, ends = words or words_of(text)
+    found, k, i = [], 0, 0
+
+    def core(j: int) -> tuple[int, int]:
+        word = text[starts[j] : ends[j]].rstrip(_EDGE)
+        end = starts[j] + len(word)
+        start = end - len(word.lstrip(_EDGE))
+        if start > starts[j] and text[start - 1] == "(":
+            start -= 1
+        return start, end
+
+    def joined_to(j: int) -> bool:
+        """Whether only blanks stand between the words j and j + 1."""
+        return j + 1 < len(starts) and not text[ends[j] : starts[j + 1]].strip(" \t")
+
+    def longest(start: int, limit: int) -> tuple[str, int, int, int] | None:
+        """(kind, end, next word): the longest run of digit groups from word i that has a shape."""
+        best, j, number = None, i, 0
+        while True:
+            a, b = (start, ends[j]) if j == i else (starts[j], ends[j])
+            end = a + len(text[a:b].rstrip(_EDGE.replace(")", "")))
+            if end - a > 40 or end > limit or not _GROUPS.fullmatch(text, a, end):
+                # The last group may have a bracket that closes what stands around the number.
+                return best
+            number += len(digits(text[a:end]))
+            if number > 19:
+                return best
+            last = end
+            if text.count("(", start, end) < text.count(")", start, end):
+                last = start + len(text[start:end].rstrip(")"))
+            if j > i and (kind := spread_shape_of(text[start:last])):
+                around = text[start] == "(" and text[last - 1] == ")" and text.count("(", start, last) == 1
+                best = kind, start + around, last - around, j + 1
+            if end < b or last < end or not joined_to(j):
+                return best
+            j += 1
+
+    while i < len(starts):
+        start, end = core(i) if _MARK.search(text, starts[i], ends[i]) else (0, 0)
+        spaced = joined_to(i) and text[starts[i + 1] : ends[i + 1]].lower() in _AT and joined_to(i + 1)
+        if start >= end and not spaced:
+            i += 1
+            continue
+        if start >= end:
+            start, end = core(i)
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        free = k == len(taken) or taken[k][0] >= end
-        if free and start < end and (kind := shape_of(text[start:end])):
-            found.append((kind, start, end))
+        limit = taken[k][0] if k < len(taken) else len(text)
+        best = None
+        if spaced and start < end and (stop := core(i + 2)[1]) <= limit:
+            whole = text[start:end] + text[starts[i + 1] : ends[i + 1]] + text[starts[i + 2] : stop]
+            if shape_of(whole) == "email":
+                best = "email", start, stop, i + 3
+        best = best or longest(start, limit)
+        if best is None and start < end <= limit:
+            if text[start] == "(" and ")" not in text[start:end]:
+                start += 1
+            if kind := shape_of(text[start:end]):
+                best = kind, start, end, i + 1
+        if best:
+            found.append(best[:3])
+        i = best[3] if best else i + 1
     return found
 
 
@@ -113,15 +197,16 @@ def normal_word(word: str) -> str:
     return _DIGIT.sub("0", word.lower())
 
 
-def patterns_before(text: str, start: int) -> tuple[str, ...]:
-    """Lexical patterns: the two words before a place, and the one if it introduces something.
-
-    One word alone is a pattern only if it ends with a mark such as `:` or `=`.
-    """
-    words = _BEFORE.findall(text, max(0, start - CONTEXT_CHARS), start)[-2:]
-    words = [normal_word(w) for w in words]
-    pair = (" ".join(words),) if len(words) == 2 else ()
-    return pair + ((words[-1],) if words and words[-1][-1] in ":=#" else ())
+def patterns_before(text: str, start: int, words: tuple[list[int], list[int]] | None = None) -> tuple[str, ...]:
+    """Lexical patterns: the two whole words before a place, and the one; their score judges both."""
+    starts, ends = words or words_of(text)
+    k = bisect_left(starts, start)
+    near = []
+    for j in range(max(0, k - 2), k):
+        glued = ends[j] > start
+        near.append(normal_word(text[max(starts[j], start - CONTEXT_CHARS) if glued else starts[j] : min(ends[j], start)]))
+    pair = (" ".join(near),) if len(near) == 2 else ()
+    return pair + ((near[-1],) if near and near[-1][-1] in ":=#" else ())
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -142,10 +227,13 @@ def occurrences(docs: DataFrame) -> DataFrame:
             for scalar in batch.column(0):
                 text = scalar.as_py() or ""
                 base = base_spans(text)
-                for spans, seed in ((base, True), (candidate_spans(text, base), False)):
+                if not base and not _MARK.search(text):
+                    continue
+                words = words_of(text)
+                for spans, seed in ((base, True), (candidate_spans(text, base, words), False)):
                     for kind, a, b in spans:
                         value = hashlib.md5(text[a:b].lower().encode("utf-8", "replace")).hexdigest()
-                        for pattern in patterns_before(text, a):
+                        for pattern in patterns_before(text, a, words):
                             held[kind, value, pattern, seed] += 1
                 if len(held) > 1 << 16:
                     yield out()
@@ -265,10 +353,11 @@ def find_personal_data(docs: DataFrame, patterns: DataFrame | None = None) -> Da
                 for scalar, before in zip(batch.column(1), batch.column(3).to_pylist(), strict=True):
                     text = scalar.as_py() or ""
                     spans = base_spans(text)
+                    words = words_of(text) if known.value and _MARK.search(text) else ([], [])
                     new = [
                         (kind, a, b)
-                        for kind, a, b in (candidate_spans(text, spans) if known.value else [])
-                        if any((kind, p) in known.value for p in patterns_before(text, a))
+                        for kind, a, b in (candidate_spans(text, spans, words) if words[0] else [])
+                        if any((kind, p) in known.value for p in patterns_before(text, a, words))
                     ]
                     base.append(joined(spans))
                     more.append(joined([*new, *parsed(before)]))

@@ -88,3 +88,25 @@ def test_odd_rows(spark, tmp_path):
     assert [(r.n_email, r.n_ip, r.n_card, r.n_phone) for r in found][2] == (1, 1, 0, 0)
     none = spark.createDataFrame([], "doc_id long, text string")
     assert P.find_personal_data(none).count() == 0
+
+
+def test_candidates_span_blanks_and_brackets_and_written_out_at():
+    text = "phone: (555) 123-4567 or 0171 234 56 78, card 4111 1111 1111 1112; jane[at]corp.com, joe (at) x.org (0171 2345678)"
+    assert [(kind, text[a:b]) for kind, a, b in P.candidate_spans(text, P.base_spans(text))] == [
+        ("phone", "(555) 123-4567"), ("phone", "0171 234 56 78"), ("card", "4111 1111 1111 1112"),
+        ("email", "jane[at]corp.com"), ("email", "joe (at) x.org"), ("phone", "0171 2345678"),
+    ]
+    assert P.candidate_spans("7 of 12 in 2024, 3 4 5 6 7 8 9", []) == []
+
+
+def test_spread_and_written_out_identifiers_behind_learnt_contexts(spark):
+    rows = planted()
+    source = random.Random(9)
+    rows += [(200 + k, f"w{source.random()} reach us {'x' * 120} user{k}@corp{k}.com yes") for k in range(9)]
+    hidden = {300: ("call me:", "(555) 123-4567"), 301: ("call me:", "0171 234 56 78"), 302: (f"us {'x' * 120}", "jane[at]corp.com")}
+    rows += [(k, f"some {before} {value} and more") for k, (before, value) in hidden.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.more for r in P.find_personal_data(docs).collect()}
+    for k, (_, value) in hidden.items():
+        start = dict(rows)[k].index(value)
+        assert found[k] == f"{'email' if '[' in value else 'phone'}:{start}:{start + len(value)}"
