@@ -99,6 +99,11 @@ def test_candidates_span_blanks_and_brackets_and_written_out_at():
     assert P.candidate_spans("7 of 12 in 2024, 3 4 5 6 7 8 9", []) == []
 
 
+def test_candidates_of_long_runs_take_linear_time():
+    for text in ("a" * 1_000_000 + " 1", "1 " * 200_000, "(1) " * 100_000, "a[at]" * 100_000, "12-" * 200_000, "1" + "é" * 1_000_000):
+        P.candidate_spans(text, P.base_spans(text))
+
+
 def test_spread_and_written_out_identifiers_behind_learnt_contexts(spark):
     rows = planted()
     source = random.Random(9)
