@@ -206,7 +206,7 @@ def patterns_before(text: str, start: int, words: tuple[list[int], list[int]] |
         glued = ends[j] > start
         near.append(normal_word(text[max(starts[j], start - CONTEXT_CHARS) if glued else starts[j] : min(ends[j], start)]))
     pair = (" ".join(near),) if len(near) == 2 else ()
-    return pair + ((near[-1],) if near and near[-1][-1] in ":=#" else ())
+    return pair + tuple(near[-1:])
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -280,7 +280,7 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def learn_patterns(
-    docs: DataFrame, least_values: int = 3, least_score: float = 0.5, smoothing: float = 1.0, rounds: int = 4
+    docs: DataFrame, least_values: int = 3, least_score: float = 0.5, smoothing: float = 1.0
 ) -> DataFrame:
     """(kind, pattern, score): lexical patterns that announce identifiers of a kind.
 
@@ -288,8 +288,9 @@ def learn_patterns(
     announces over all its occurrences in the corpus (plus `smoothing`), so a pattern that
     ordinary words follow scores low; patterns with `least_values` different confident values
     and `least_score` are taken. A candidate's confidence is the chance that not all patterns
-    taken that announce it are wrong; candidates then support further patterns. Rounds end when
-    no pattern is new. All of it runs on the table of occurrences, aggregated by task.
+    taken that announce it are wrong; candidates then support further patterns. Scores only
+    rise from round to round; rounds end when no pattern is new and no score rises by more than
+    `STILL`. All of it runs on the table of occurrences, aggregated by task.
     """
     spark = docs.sparkSession
     edges = written(occurrences(docs), "occurrences")
@@ -297,17 +298,18 @@ def learn_patterns(
     totals = written(pattern_totals(docs, support.select("pattern").distinct()), "totals")
     graph = written(edges.join(support.drop("values"), ["kind", "pattern"]).join(totals, "pattern"), "graph")
     belief = graph.where("seed").select("kind", "value").distinct().withColumn("belief", F.lit(1.0))
-    taken, size = spark.createDataFrame([], "kind string, pattern string, score double"), 0
-    for _ in range(rounds):
+    taken = spark.createDataFrame([], "kind string, pattern string, score double")
+    while True:
         judged = graph.join(belief, ["kind", "value"], "left").groupBy("kind", "pattern").agg(
             (F.sum(F.col("n") * F.coalesce("belief", F.lit(0.0))) / (F.first("total") + smoothing)).alias("score"),
             F.count_if(F.col("belief") >= least_score).alias("values"),
         )
         good = judged.where((F.col("score") >= least_score) & (F.col("values") >= least_values))
+        before = taken.withColumnRenamed("score", "before")
         taken = written(good.select("kind", "pattern", F.least("score", F.lit(1.0)).alias("score")), "patterns")
-        if (now := taken.count()) == size:
+        moved = taken.join(before, ["kind", "pattern"], "left").where(F.col("score") - F.coalesce("before", F.lit(-1.0)) > STILL)
+        if moved.isEmpty():
             break
-        size = now
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))
         found = graph.where("NOT seed").join(taken, ["kind", "pattern"]).groupBy("kind", "value").agg(
             (1 - doubt).alias("belief")

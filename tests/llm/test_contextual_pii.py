@@ -115,3 +115,17 @@ def test_spread_and_written_out_identifiers_behind_learnt_contexts(spark):
     for k, (_, value) in hidden.items():
         start = dict(rows)[k].index(value)
         assert found[k] == f"{'email' if '[' in value else 'phone'}:{start}:{start + len(value)}"
+
+
+def test_learning_goes_on_until_nothing_changes(spark):
+    """Each context shares three numbers with the next, so the seventh is learnt in the seventh round."""
+    rows = [(k, f"q{k}x s{k}y ctx0 +1 555 010 {1000 + k}") for k in range(6)]
+    for step in range(7):
+        for k in range(6):
+            number = f"0555-{step:02d}{k}-1234"
+            rows += [(0, f"q{step}{k}z r{step}{k}z ctx{chr(97 + step)} {number}"), (0, f"q{step}{k}v r{step}{k}v ctx{chr(98 + step)} {number}")]
+    rows += [(0, f"q{k}a r{k}a ctx0 0555-00{k}-1234") for k in range(6)]
+    rows.append((999, "any words ctxh 0444-123-9876"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    taken = {r.pattern: r.score for r in P.learn_patterns(docs, least_score=0.2, smoothing=0.0).collect()}
+    assert {f"ctx{c}" for c in "abcdefgh"} <= set(taken)
