@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from slugline.llm import langid, line_chunks, mixing, packing, shingle_links
+from slugline.llm import langid, line_chunks, mixing, packing, simhash
 from slugline.llm.common import written
 from slugline.llm.queries import SHARE, WEIGHTS, tokenizer_file
 
@@ -29,8 +29,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, which share 0.8 or more of their five-word shingles."""
-    return shingle_links.one_of_each(docs, width=5)
+    """One document of each group linked by fingerprints of three-word shingles, at most three bits apart."""
+    return simhash.one_of_each(docs, width=3, max_bits=3, segments=2)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
