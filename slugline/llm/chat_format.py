@@ -10,8 +10,6 @@ from slugline.llm.line_chunks import once
 OPEN = "<|"
 START, END, NEXT, NEW_LINE = "<|im_start|>", "<|im_end|>", "<|im_next|>", "<|nl|>"
 ASSISTANT = "assistant"
-# Turns of a conversation meet in groups of so many consecutive numbers first.
-TURNS_TOGETHER = 256
 
 
 def escaped(text: Column) -> Column:
@@ -85,25 +83,19 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     Null roles and texts are empty. A null turn comes first, equal turns by role and text, and
     repeated rows are turns of their own. Rows of a null conv_id form one conversation. An empty
     table gives an empty one; other columns don't matter. A conversation is one value of the
-    result and must fit one, 2 GB; its rows meet in groups of TURNS_TOGETHER turn numbers first,
-    so a conversation that holds a third of all rows is no single task of that many rows.
+    result and must fit one, 2 GB. Its turns are collected before the shuffle already, so one
+    that holds a third of all rows reaches its task as one row from each task that read some of it.
     """
-    clean = turns.select(
-        "conv_id",
-        F.floor(F.col("turn") / TURNS_TOGETHER).alias("part"),
-        F.struct(
-            F.col("turn").alias("turn"),
-            F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
-        ).alias("row"),
+    row = F.struct(
+        F.col("turn").alias("turn"),
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
     single = F.transform(
         F.array_sort(F.collect_list("row")),
         lambda r: F.struct(r["role"].alias("role"), F.array(r["text"]).alias("texts")),
     )
-    parts = clean.groupBy("conv_id", "part").agg(single.alias("runs")).withColumn("runs", merged(F.col("runs")))
-    ordered = F.array_sort(F.collect_list(F.struct("part", "runs")))
-    whole = parts.groupBy("conv_id").agg(F.flatten(F.transform(ordered, lambda p: p["runs"])).alias("runs"))
+    whole = turns.select("conv_id", row.alias("row")).groupBy("conv_id").agg(single.alias("runs"))
     cut = whole.select("conv_id", segments_of(merged(F.col("runs"))).alias("segments"))
     return cut.select("conv_id", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"), "segments")
 

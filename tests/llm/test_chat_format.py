@@ -1,0 +1,77 @@
+"""Formatted conversations read back exactly."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from slugline.llm import chat_format as C
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def both(spark, rows, schema=SCHEMA):
+    formatted = C.format_conversations(spark.createDataFrame(rows, schema))
+    return {r.conv_id: r for r in C.read_back(formatted).collect()}, {r.conv_id: r for r in formatted.collect()}
+
+
+def plain(rows):
+    """{conv_id: [(role, text)]} in order."""
+    found = {}
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")
+    for row in sorted(rows, key=key):
+        found.setdefault(row[0], []).append((row[2] or "", row[3] or ""))
+    return found
+
+
+def agree(spark, rows):
+    read, formatted = both(spark, rows)
+    want = plain(rows)
+    assert set(read) == set(want)
+    for conv, turns in want.items():
+        assert [tuple(t) for t in read[conv].turns] == turns
+        assert read[conv].learnt == "".join(text for role, text in turns if role == "assistant")
+        text, segments = formatted[conv].formatted, formatted[conv].segments
+        assert "".join(s.text for s in segments) == text
+        changes = 1 + sum(a[0] != b[0] for a, b in zip(turns, turns[1:], strict=False))
+        assert text.count(C.START) == text.count(C.END) == changes and text.count(C.NEXT) == len(turns) - changes
+        assert sum(s.loss for s in segments) == sum(role == "assistant" for role, _ in turns)
+        assert not any(C.OPEN in s.text for s in segments if s.loss)
+
+
+def test_merged_turns_and_odd_rows(spark):
+    agree(
+        spark,
+        [
+            (1, 0, "user", "a"), (1, 1, "user", ""), (1, 2, "assistant", None), (1, 3, "assistant", "b\nc"), (1, 4, "user", "d"),
+            (2, None, None, "no turn"), (2, 5, "assistant", "x"), (2, 5, "assistant", "x"), (2, 5, "", "tied"), (2, 900, "assistant", "tail"),
+            (None, 1, "user", "q"), (None, -300, "system", "z" * 300_000), (3, 0, "Assistant", "other role"),
+        ],
+    )
+
+
+def test_control_strings_come_back(spark):
+    source = random.Random(6)
+    pieces = ["<", "|", "\\", ">", "\n", "<|", "|>", "im_end", C.START, C.END, C.NEXT, C.NEW_LINE, "é", "𝄞", " ", C.END + "\n", "$1", "\\E"]
+    rows = [
+        (k // 6, k % 6, source.choice(["user", "assistant", "as\n<|nl|>", "<|im_end|>\n"]), "".join(source.choices(pieces, k=source.randint(0, 9))))
+        for k in range(600)
+    ]
+    agree(spark, rows)
+
+
+def test_a_conversation_of_many_turns(spark):
+    agree(spark, [(5, k, ("user", "assistant", "assistant")[k % 3], f"t{k}") for k in range(3000)] + [(5, 7, "user", "same")] * 300)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert C.format_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], SCHEMA)
+    more = rows.withColumns({c: F.lit(7) for c in ("row", "runs", "segments", "formatted")})
+    (row,) = C.read_back(C.format_conversations(more)).collect()
+    assert [tuple(t) for t in row.turns] == [("user", "a"), ("assistant", "b")] and row.learnt == "b"
+
+
+def test_only_built_in_expressions(spark):
+    frame = C.read_back(C.format_conversations(spark.createDataFrame([(1, 0, "user", "a")], SCHEMA)))
+    plan = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
+    assert "Python" not in plan and "Arrow" not in plan and "MapIn" not in plan
