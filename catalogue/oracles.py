@@ -167,34 +167,27 @@ BODIES = _with(EV, BODY)
 WEBHOOKS = _with(EV, BODY, WH)
 
 
-def _spine(first: str, last: str) -> str:
-    return f"""calendar AS (
-  SELECT CAST(day AS DATE) AS dt FROM generate_series({first}, {last}, INTERVAL 1 DAY) AS series(day)
-)"""
-
-
-def _sum_if(condition: str, name: str) -> str:
-    return f"coalesce(sum(CASE WHEN {condition} THEN 1 ELSE 0 END), 0)::BIGINT AS {name}"
+def _per_day(first: str, last: str, counts: dict[str, str]) -> str:
+    """One row for each day in a list of days, counted from the list of kinds seen on it."""
+    days = f"list_transform(range(({last} - {first} + 1)::INT), lambda k: {first} + k::INT)"
+    totals = ", ".join(f"len({kinds})::BIGINT AS {name}" for name, kinds in counts.items())
+    return f"""{EVENTS}, seen AS (SELECT dt, list(coalesce(event_kind, '-')) AS kinds FROM ev GROUP BY dt),
+days AS (SELECT unnest({days}) AS dt)
+SELECT dt::VARCHAR || 'T00:00:00+09:00' AS time, {totals} FROM days LEFT JOIN
+  (SELECT dt AS seen_on, kinds FROM seen) ON seen_on = dt"""
 
 
-def _is_kind(*kinds: str) -> str:
-    return "event_kind IN (" + ", ".join(f"'{kind}'" for kind in kinds) + ")"
+def _among(*kinds: str) -> str:
+    return f"list_filter(coalesce(kinds, []), lambda kind: list_contains({list(kinds)}, kind))"
 
 
 def _calendar(first: str, last: str) -> str:
-    return f"""{_with(EV, _spine(first, last))}
-SELECT strftime(c.dt, '%Y-%m-%d') || 'T00:00:00+09:00' AS time, count(ev.event_id)::BIGINT AS value
-FROM calendar c LEFT JOIN ev ON ev.dt = c.dt GROUP BY c.dt"""
+    return _per_day(first, last, {"value": "coalesce(kinds, [])"})
 
 
 def _trend(first: str, last: str) -> str:
-    return f"""{_with(EV, _spine(first, last))}
-SELECT strftime(c.dt, '%Y-%m-%d') || 'T00:00:00+09:00' AS time,
-  {_sum_if(_is_kind("PUBLISH_FROM_DRAFT"), "publish_from_draft_count")},
-  {_sum_if(_is_kind("INITIAL_PUBLISH"), "initial_publish_count")},
-  {_sum_if(_is_kind("REPUBLISH_FROM_CLOSED"), "republish_from_closed_count")},
-  {_sum_if(_is_kind("PUBLISH_FROM_DRAFT", "INITIAL_PUBLISH", "REPUBLISH_FROM_CLOSED"), "publish_count")}
-FROM calendar c LEFT JOIN ev ON ev.dt = c.dt GROUP BY c.dt"""
+    counts = {f"{kind.lower()}_count": _among(kind) for kind in PUBLICATIONS}
+    return _per_day(first, last, counts | {"publish_count": _among(*PUBLICATIONS)})
 
 
 # Which kinds are publications, leave a content published, or change its state at all.
@@ -216,13 +209,14 @@ FROM ev WHERE {condition}"""
 
 
 def _activity(api: str = "api") -> str:
-    counts = ",\n  ".join(_sum_if(f"event_kind = '{kind}'", f"{kind.lower()}_count") for kind in KINDS)
+    counts = ",\n  ".join(f"count(*) FILTER (event_kind = '{kind}') AS {kind.lower()}_count" for kind in KINDS)
     return f"""SELECT {api} AS api,
   {counts},
   count(*)::BIGINT AS total_count
 FROM ev WHERE {IN_RANGE} GROUP BY 1"""
 
 
+# Which counts make up each category.
 CATEGORY_SUMS = {
     "draft_activity": "initial_draft_count + save_draft_count + add_draft_to_published_count"
     " + discard_draft_on_published_count",
@@ -292,6 +286,24 @@ FROM ({report})"""
 
 
 ACCEPTED = f"({REASON}) IS NULL"
+
+# A payload whose free values are digests, its keys in order; the sample's only free value is `fields`.
+FREE_VALUE = """CASE WHEN event_id % 7 = 0 THEN '{"a":' || replace(props, ' ', '') || '}' ELSE replace(props, ' ', '') END"""
+MASKED = f"""hidden AS (SELECT *, encode({FREE_VALUE}) AS body FROM ev), masked AS (
+  SELECT * EXCLUDE (body),
+    '{{"api":' || {_text("api")} || ',"contents":{{"new":' || CASE WHEN new_status IS NULL THEN 'null' ELSE
+         '{{"draftValue":' || CASE WHEN draft_created_at IS NULL THEN 'null' ELSE
+              '{{"createdAt":' || {_stamp("draft_created_at")} || '}}' END
+         || ',"fields":"' || {_hmac(SECRET)} || '","publishValue":' || CASE WHEN content_published_at IS NULL THEN 'null' ELSE
+              '{{"createdAt":' || {_stamp("content_created_at")}
+              || ',"publishedAt":' || {_stamp("content_published_at")} || '}}' END
+         || ',"status":' || {_status("new_status")} || ',"updatedAt":' || {_stamp("new_updated_at")} || '}}' END
+    || ',"old":' || CASE WHEN old_status IS NULL THEN 'null' ELSE
+         '{{"status":' || {_status("old_status")} || ',"updatedAt":' || {_stamp("old_updated_at")} || '}}' END
+    || '}},"id":' || {_text("content_id")} || ',"service":' || {_text("service")} || ',"type":' || {_text("event_type")}
+    || '}}' AS raw_payload
+  FROM hidden
+)"""
 STORED_DAYS = "SELECT service, coalesce(api, 'unknown') AS api, dt, count(*)::BIGINT AS event_count FROM ev GROUP BY ALL"
 
 ORACLES: dict[str, str] = {
@@ -325,6 +337,24 @@ SELECT received_at, CAST(received_at + INTERVAL 9 HOURS AS DATE) AS dt, {REASON}
   ({CLASS})::INTEGER AS reject_class, sha256(body) AS body_sha256
 FROM wh WHERE NOT ({ACCEPTED})""",
     "stream_ingest": f"{BODIES} SELECT {STORED_COLUMNS} FROM EV_WITH_BODY WHERE {ACCEPTED}",
+    "deduplicated_stream": f"{BODIES} SELECT {STORED_COLUMNS} FROM EV_WITH_BODY WHERE {ACCEPTED}",
+    "idempotent_ingest": f"""{EVENTS}
+SELECT dt, CASE WHEN {ACCEPTED} THEN 'events' ELSE 'quarantine' END AS stored_as, count(*)::BIGINT AS record_count
+FROM ev GROUP BY ALL""",
+    "compacted_events": f"{BODIES} SELECT {STORED_COLUMNS} FROM EV_WITH_BODY WHERE {ACCEPTED}",
+    "compaction_plan": f"""{EVENTS}
+SELECT DISTINCT service, coalesce(api, 'unknown') AS api, dt, false AS due, 1::BIGINT AS file_count FROM ev WHERE {ACCEPTED}""",
+    "backfilled_days": f"""{BODIES}
+SELECT {STORED_COLUMNS} FROM EV_WITH_BODY WHERE {ACCEPTED} AND (event_id % 2 = 0 OR {IN_RANGE})""",
+    "expired_partitions": f"""{EVENTS}
+SELECT DISTINCT service, coalesce(api, 'unknown') AS api, dt, true AS has_bytes FROM ev WHERE dt < {FIRST}""",
+    "masked_payload": f"{_with(EV, MASKED)} SELECT {EVENT_COLUMNS} FROM masked",
+    "split_payload": f"{BODIES} SELECT {STORED_COLUMNS} FROM EV_WITH_BODY",
+    "allowed_columns": f"""{EVENTS}
+SELECT received_at, service, coalesce(api, 'unknown') AS api, content_id, NULL::VARCHAR AS event_type, event_kind,
+  NULL::VARCHAR AS old_status, NULL::VARCHAR AS new_status, NULL::TIMESTAMP AS old_updated_at,
+  NULL::TIMESTAMP AS new_updated_at, NULL::TIMESTAMP AS draft_created_at, NULL::TIMESTAMP AS content_created_at,
+  NULL::TIMESTAMP AS content_published_at, '' AS raw_payload, dt FROM ev""",
     "status_extraction": f"{EVENTS} SELECT event_id, old_status, new_status FROM ev",
     "payload_timestamps": """SELECT event_id,
   CASE WHEN event_id % 9 NOT IN (5, 7) THEN ts END AS updated_at FROM events""",
@@ -354,7 +384,9 @@ FROM ({TOP_CONTENTS})""",
     "avg_draft_to_publish_hours": _draft_to_publish("hours"),
     "activity_cube": f"""{EVENTS}
 SELECT dt, api, event_kind, count(*)::BIGINT AS event_count FROM ev WHERE {IN_RANGE} GROUP BY ALL""",
+    "panel_calendar_heatmap": _calendar(FIRST, LAST),
     "panel_publish_action_summary": _summary(IN_RANGE),
+    "panel_publish_action_trend": _trend(FIRST, LAST),
     "panel_api_activity": f"{EVENTS} {_activity("coalesce(api, 'unknown')")}",
     "api_activity_by_category": f"""{EVENTS}, activity AS ({_activity()})
 SELECT api, {", ".join(f"{total} AS {name}" for name, total in CATEGORY_SUMS.items())} FROM activity""",

@@ -18,12 +18,14 @@ from slugline.functions.timestamps import rfc3339_timestamp
 from slugline.operators import counts as C
 from slugline.operators import ingest as I
 from slugline.operators import inventory as N
+from slugline.operators import maintenance as K
 from slugline.operators import metrics as M
+from slugline.operators import privacy as R
 from slugline.operators import sink as S
 from slugline.operators import views as V
 from slugline.operators.export import json_document, json_rows
 from slugline.plans import dashboard
-from slugline.plans.ingest import ingest_batch
+from slugline.plans.ingest import backfill_days, ingest_batch, ingest_new
 from slugline.plans.params import DurationUnit, TimeRange
 from slugline.schema import PARTITION_COLUMNS, RAW_SCHEMA
 from slugline.session import pin_session, scratch_path
@@ -73,7 +75,8 @@ def _landed_webhooks(spark: SparkSession, sf_dir: str) -> str:
         F.create_map(F.lit("Content-Type"), F.lit("application/json"), name, F.col("signature")),
     ).otherwise(F.create_map(F.lit("Content-Type"), F.lit("application/json")))
     landed = sample.webhooks(spark, sf_dir).select("event_id", "body", headers.alias("headers"), "received_at")
-    return _once(spark, sf_dir, "landed", landed.write.parquet)
+    # As many files as the session has cores, as receivers that write side by side would leave.
+    return _once(spark, sf_dir, "landed", landed.repartition(spark.sparkContext.defaultParallelism, "event_id").write.parquet)
 
 
 LANDED_SCHEMA = T.StructType(
@@ -212,19 +215,98 @@ def ingest_quarantine(spark, sf_dir):
     )
 
 
-def stream_ingest(spark, sf_dir):
-    stream = W.raw_webhook_stream(
-        spark,
-        _landed_webhooks(spark, sf_dir),
-        schema=LANDED_SCHEMA,
-        signature_header=SIGNATURE_HEADER,
-        max_files_per_trigger=4,
+def _stream_of(spark, landing: str) -> DataFrame:
+    return W.raw_webhook_stream(
+        spark, landing, schema=LANDED_SCHEMA, signature_header=SIGNATURE_HEADER, max_files_per_trigger=4
     )
-    root = scratch_path(spark, "streamed")
-    start_ingest(stream, sample.SECRET, root, scratch_path(spark, "progress")).awaitTermination()
+
+
+def _streamed(spark, sf_dir) -> str:
+    def write(root: str) -> None:
+        stream = _stream_of(spark, _landed_webhooks(spark, sf_dir))
+        start_ingest(stream, sample.SECRET, root, scratch_path(spark, "progress")).awaitTermination()
+
+    return _once(spark, sf_dir, "streamed", write)
+
+
+def stream_ingest(spark, sf_dir):
+    return E.scan_events(spark, S.events_root(_streamed(spark, sf_dir)))
+
+
+def deduplicated_stream(spark, sf_dir):
+    """Every seventh delivery lands a second time, after the stream has stopped; it goes on from its checkpoint."""
+    landing, root, progress = (scratch_path(spark, name) for name in ("again", "deduplicated", "progress"))
+    landed = spark.read.schema(LANDED_SCHEMA).parquet(_landed_webhooks(spark, sf_dir))
+    for part in (landed, landed.where("event_id % 7 = 0")):
+        part.write.mode("append").parquet(landing)
+        query = start_ingest(
+            _stream_of(spark, landing), sample.SECRET, root, progress, drop_repeated_within="7 days"
+        )
+        query.awaitTermination()
     return E.scan_events(spark, S.events_root(root))
 
 
+def idempotent_ingest(spark, sf_dir):
+    """The even deliveries, then all of them, then all of them twice over."""
+    root = scratch_path(spark, "once")
+    raw = _landed_batch(spark, sf_dir)
+    for batch in (raw.where("event_id % 2 = 0"), raw, raw.union(raw)):
+        ingest_new(batch, sample.SECRET, root)
+    events = E.scan_events(spark, S.events_root(root)).select("dt", F.lit("events").alias("stored_as"))
+    rejected = E.scan_quarantine(spark, S.quarantine_root(root)).select("dt", F.lit("quarantine").alias("stored_as"))
+    return events.union(rejected).groupBy("dt", "stored_as").agg(F.count("*").alias("record_count"))
+
+
+def _compacted(spark, sf_dir) -> str:
+    source = S.events_root(_streamed(spark, sf_dir))
+    return _once(spark, sf_dir, "compacted", lambda root: K.compact_events(spark, source, root))
+
+
+def compacted_events(spark, sf_dir):
+    return E.scan_events(spark, _compacted(spark, sf_dir))
+
+
+def compaction_plan(spark, sf_dir):
+    """After the copy no partition is due, and the copy has a file for each of these small partitions."""
+    source, target = S.events_root(_streamed(spark, sf_dir)), _compacted(spark, sf_dir)
+    due = K.compaction_plan(spark, source, target).select(*PARTITION_COLUMNS, "due")
+    return due.join(K.partition_sizes(spark, target), [*PARTITION_COLUMNS]).select(*PARTITION_COLUMNS, "due", "file_count")
+
+
+def backfilled_days(spark, sf_dir):
+    """The even deliveries land first, then the odd ones of some days: those days are rebuilt."""
+    landing, root, ledger = (scratch_path(spark, name) for name in ("landing", "backfilled", "ledger"))
+    landed = spark.read.schema(LANDED_SCHEMA).parquet(_landed_webhooks(spark, sf_dir))
+    odd = (F.col("event_id") % 2 == 1) & business_day(F.col("received_at")).between(F.lit(MAIN.first_day), F.lit(MAIN.last_day))
+    for part in (landed.where("event_id % 2 = 0"), landed.where(odd)):
+        part.write.mode("append").parquet(landing)
+        for _ in range(2):
+            backfill_days(
+                spark, landing, sample.SECRET, root, ledger, schema=LANDED_SCHEMA, signature_header=SIGNATURE_HEADER
+            )
+    return E.scan_events(spark, S.events_root(root))
+
+
+def expired_partitions(spark, sf_dir):
+    expired = K.expired_partitions(spark, _event_table(spark, sf_dir), MAIN.first_day)
+    return expired.select(*PARTITION_COLUMNS, (F.col("bytes") > 0).alias("has_bytes"))
+
+
+def masked_payload(spark, sf_dir):
+    return R.mask_payload(_events(spark, sf_dir), sample.SECRET)
+
+
+def split_payload(spark, sf_dir):
+    root = _once(spark, sf_dir, "split", lambda root: R.write_split_events(_events(spark, sf_dir), root))
+    return R.join_payloads(R.scan_split_events(spark, root), R.scan_payloads(spark, root))
+
+
+def allowed_columns(spark, sf_dir):
+    root = scratch_path(spark, "allowed")
+    S.write_events(R.only_columns(_events(spark, sf_dir), ["event_kind", "content_id"]), root)
+    return E.scan_events(spark, root)
+
+
 def _parsed_contents(spark, sf_dir) -> DataFrame:
     """Every payload of the sample as (event_id, event_type, old and new status lists)."""
     payload = F.col("payload")
@@ -363,7 +445,9 @@ REPORTS: dict[str, Query] = {
     "avg_draft_to_publish_days": from_draft_days,
     "avg_draft_to_publish_hours": from_draft_hours,
     "activity_cube": _report(dashboard.activity_cube, MAIN),
+    "panel_calendar_heatmap": _panel("calendar_heatmap"),
     "panel_publish_action_summary": _panel("publish_action_summary"),
+    "panel_publish_action_trend": _panel("publish_action_trend"),
     "panel_api_activity": _panel("api_activity"),
     "api_activity_by_category": _view(V.activity_view, api_activity),
     "api_activity_detail_view": _view(partial(V.activity_view, view=V.ActivityView.DETAIL), api_activity),
@@ -394,6 +478,15 @@ OPERATORS: dict[str, Query] = {
     "ingest_events": ingest_events,
     "ingest_quarantine": ingest_quarantine,
     "stream_ingest": stream_ingest,
+    "deduplicated_stream": deduplicated_stream,
+    "idempotent_ingest": idempotent_ingest,
+    "compacted_events": compacted_events,
+    "compaction_plan": compaction_plan,
+    "backfilled_days": backfilled_days,
+    "expired_partitions": expired_partitions,
+    "masked_payload": masked_payload,
+    "split_payload": split_payload,
+    "allowed_columns": allowed_columns,
     "status_extraction": status_extraction,
     "payload_timestamps": payload_timestamps,
     "event_kind": event_kinds,

@@ -37,21 +37,38 @@ def parse_sealed(text: Column, seal: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]')), "variant", PARSER)
 
 
+# A text that can repeat a field's key holds its quoted name twice, or spells a letter as an escape.
+_NAMES = "|".join((*ENVELOPE_FIELDS, *CONTENT_SIDES))
+_QUOTED_NAME = f'"(?:{_NAMES})"'
+_ESCAPED_LETTER = r"\\u00[67]"
+
+
 def _repeats(keys: Column, names: tuple[str, ...]) -> Column:
-    named = F.filter(keys, lambda key: key.isin(*names))
-    return F.size(named) > F.size(F.array_distinct(named))
+    """Whether one of `names` is twice among `keys`, which are computed once."""
+
+    def counted(held: Column) -> Column:
+        named = F.filter(held, lambda key: key.isin(*names))
+        return F.size(named) > F.size(F.array_distinct(named))
+
+    return F.get(F.transform(F.array(keys), counted), F.lit(0))
 
 
 def repeats_envelope_key(text: Column) -> Column:
     """Whether a field of the envelope, or a side of its contents, is given twice.
 
-    Keys that repeat anywhere else are free values of the sender: the last one counts.
+    Keys that repeat anywhere else are free values of the sender: the last one counts. Read as a
+    map, an object keeps its repeated keys, whatever the length of its values. That costs two more
+    readings of the text, so it is left to texts that name a field twice at all or have an
+    escape that could stand for a letter of a name; all others are settled by one search. NULL
+    where the text can't be read.
     """
-    contents = F.json_object_keys(F.get_json_object(text, "$.contents"))
-    repeated = _repeats(F.json_object_keys(text), ENVELOPE_FIELDS) | F.coalesce(
-        _repeats(contents, CONTENT_SIDES), F.lit(False)
-    )
-    return F.coalesce(repeated, F.lit(False))
+    quoted = F.regexp_extract_all(text, F.lit(_QUOTED_NAME), F.lit(0))
+    twice = F.get(F.transform(F.array(quoted), lambda q: F.size(q) > F.size(F.array_distinct(q))), F.lit(0))
+    fields = F.map_keys(F.from_json(text, "map<string,string>", PARSER))
+    contents = F.from_json(text, "struct<contents: map<string,string>>", PARSER)["contents"]
+    sides = F.coalesce(F.map_keys(contents), F.array().cast("array<string>"))
+    repeated = _repeats(fields, ENVELOPE_FIELDS) | _repeats(sides, CONTENT_SIDES)
+    return F.when(twice | text.rlike(_ESCAPED_LETTER), repeated).otherwise(False)
 
 
 def sealed_by(parsed: Column, seal: Column) -> Column:

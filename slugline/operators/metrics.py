@@ -91,34 +91,36 @@ def average_time_to_publish(
     return _longest_first(sums.select("api", *_unit_columns(unit, average)), unit)
 
 
+# Contents published in a range whose keys may be sent to every task: at most some 30 MB.
+SENT_CONTENTS = 200_000
+
+
 def average_draft_to_publish(
-    events: DataFrame, span: TimeRange, unit: DurationUnit = DurationUnit.DAYS
+    events: DataFrame, span: TimeRange, unit: DurationUnit = DurationUnit.DAYS, sent_contents: int = SENT_CONTENTS
 ) -> DataFrame:
     """Mean time from a content's first draft, of any date, to its first publication in the range.
 
-    Drafts and publications meet on (api, content_id). Both are minima over that same key, so one
-    scan and one shuffle compute them side by side, and a content with both is a match: the
-    self-join of two scans is not needed. Partial minima shrink a hot content to one row per
-    task before the shuffle.
+    Drafts and publications meet on (api, content_id). The publications of the range are counted
+    first, which reads the range's days alone. While their contents are at most `sent_contents`, the drafts of
+    all history are filtered by them in the scan's own tasks, so that a report on a day
+    shuffles what that day published and not every content ever drafted. Beyond that both sides
+    are minima over the same key in one scan and one shuffle.
     """
-    kind = F.col("event_kind")
-    first_draft = (kind == "INITIAL_DRAFT") & F.col("draft_created_at").isNotNull()
-    publication = (
-        (kind == "PUBLISH_FROM_DRAFT")
-        & F.col("content_published_at").isNotNull()
-        & F.col("dt").between(F.lit(span.first_day), F.lit(span.last_day))
-    )
-    contents = (
-        events.where(F.col("api").isNotNull() & F.col("content_id").isNotNull())
-        .where(first_draft | publication)
-        .groupBy("api", "content_id")
-        .agg(
-            F.min(F.when(first_draft, F.col("draft_created_at"))).alias("draft_at"),
-            F.min(F.when(publication, F.col("content_published_at"))).alias("published_at"),
-        )
-        .where(F.col("published_at") >= F.col("draft_at"))
-    )
-    sums = contents.groupBy("api").agg(
+    keys = ("api", "content_id")
+    named = events.where(F.col("api").isNotNull() & F.col("content_id").isNotNull())
+    is_draft = (F.col("event_kind") == "INITIAL_DRAFT") & F.col("draft_created_at").isNotNull()
+    is_publication = (F.col("event_kind") == "PUBLISH_FROM_DRAFT") & F.col("content_published_at").isNotNull()
+    published = C.in_range(named, span).where(is_publication)
+    first_published = published.groupBy(*keys).agg(F.min("content_published_at").alias("published_at"))
+    draft_at = F.min(F.when(is_draft, F.col("draft_created_at"))).alias("draft_at")
+    if first_published.limit(sent_contents + 1).count() <= sent_contents:
+        drafts = named.where(is_draft).join(F.broadcast(first_published.select(*keys)), [*keys], "left_semi")
+        contents = drafts.groupBy(*keys).agg(draft_at).join(first_published, [*keys])
+    else:
+        in_span = F.col("dt").between(F.lit(span.first_day), F.lit(span.last_day))
+        published_at = F.min(F.when(is_publication & in_span, F.col("content_published_at"))).alias("published_at")
+        contents = named.where(is_draft | (is_publication & in_span)).groupBy(*keys).agg(draft_at, published_at)
+    sums = contents.where(F.col("published_at") >= F.col("draft_at")).groupBy("api").agg(
         F.sum(seconds_between(F.col("draft_at"), F.col("published_at"))).alias("seconds"),
         F.count("*").alias("sample_count"),
     )

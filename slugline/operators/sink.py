@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, functions as F
 
 from slugline.functions.partitions import partition_value
 from slugline.schema import EVENT_COLUMNS, PARTITION_COLUMNS, QUARANTINE_SCHEMA, REQUIRED_COLUMNS
+from slugline.sources.files import delete_folder, exists, move_folder
 
 # The two tables one ingest run fills, as the first partition level under its root.
 TABLE_COLUMN = "table"
@@ -25,7 +29,7 @@ def _required(name: str) -> Column:
     return F.when(column.isNull(), F.raise_error(F.lit(f"{name} must not be null"))).otherwise(column)
 
 
-def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+def spread_rows(rows: DataFrame, *keys: str) -> DataFrame:
     """Lay rows out for a partitioned write.
 
     Rebalancing brings a partition's rows together so that small partitions make one file each,
@@ -45,21 +49,55 @@ def _writer(rows: DataFrame, mode: str, rows_per_file: int | None) -> DataFrameW
     return writer
 
 
+def stored_values() -> dict[str, Column]:
+    """Path values of service and api, and the checks of required columns, as replacements."""
+    values = {name: partition_value(F.col(name)) for name in ("service", "api")}
+    return values | {name: _required(name) for name in REQUIRED_COLUMNS}
+
+
 def write_events(
     events: DataFrame, root: str, *, mode: str = "append", rows_per_file: int | None = None
-) -> None:
-    """Write events below `root`; `mode="overwrite"` replaces whatever the table held.
+) -> int:
+    """Write events below `root` and return how many; `mode="overwrite"` replaces whatever the table held.
 
     The path values of service and api are escaped, with `unknown` for NULL, and are what every
-    reader sees; the values as sent stay in `raw_payload`.
+    reader sees; the values as sent stay in `raw_payload`. Without any event it raises, and the
+    table stays as it was. The events are counted while they are written, so their plan
+    runs once: a replacement is written beside the table and takes its place only if it holds something.
     """
-    if events.isEmpty():
+    counted = Observation()
+    rows = events.select(*EVENT_COLUMNS).withColumns(stored_values())
+    rows = spread_rows(rows.observe(counted, F.count(F.lit(1)).alias("events")), *PARTITION_COLUMNS)
+    replaces = mode == "overwrite"
+    target = f"{root.rstrip('/')}-{uuid.uuid4().hex}" if replaces else root
+    writer = _writer(rows, "errorifexists" if replaces else mode, rows_per_file)
+    writer.partitionBy(*PARTITION_COLUMNS).parquet(target)
+    n_events = _observed(counted, "events")
+    if replaces:
+        _take_place(events, target, root, n_events > 0)
+    if not n_events:
         raise ValueError("no events to write")
-    values = {name: partition_value(F.col(name)) for name in ("service", "api")}
-    values |= {name: _required(name) for name in REQUIRED_COLUMNS}
-    rows = _spread(events.select(*EVENT_COLUMNS).withColumns(values), *PARTITION_COLUMNS)
-    writer = _writer(rows, mode, rows_per_file)
-    writer.option("partitionOverwriteMode", "static").partitionBy(*PARTITION_COLUMNS).parquet(root)
+    return n_events
+
+
+def _observed(counted: Observation, name: str) -> int:
+    """A count taken during a write that has succeeded."""
+    try:
+        return counted.get[name]
+    except Py4JJavaError:
+        # Input that Spark knows to be empty leaves no plan to observe, and so an empty row of metrics.
+        return 0
+
+
+def _take_place(events: DataFrame, staged: str, root: str, wanted: bool) -> None:
+    spark = events.sparkSession
+    if not wanted:
+        return delete_folder(spark, staged)
+    earlier = f"{staged}-replaced"
+    if exists(spark, root):
+        move_folder(spark, root, earlier)
+    move_folder(spark, staged, root)
+    delete_folder(spark, earlier)
 
 
 def write_deliveries(
@@ -74,7 +112,8 @@ def write_deliveries(
 
     Both outcomes leave in one job, so the input is read, verified and parsed once and nothing is
     cached. With a `batch_id` the rows land in folders of that batch only, and replaying
-    the batch replaces exactly those folders.
+    the batch replaces exactly those folders. `mode="overwrite_partitions"` replaces the
+    partitions that get rows and no others.
     """
     accepted = F.col("reject_reason").isNull()
     values = {name: partition_value(F.col(name)) for name in ("service", "api")}
@@ -82,8 +121,10 @@ def write_deliveries(
     values[TABLE_COLUMN] = F.when(accepted, EVENTS).otherwise(QUARANTINE)
     keys = (TABLE_COLUMN, *PARTITION_COLUMNS)
     rows = deliveries.select(*EVENT_COLUMNS, *QUARANTINE_COLUMNS).withColumns(values)
-    rows = _spread(rows, *keys)
+    rows = spread_rows(rows, *keys)
     overwrite = "static"
+    if mode == "overwrite_partitions":
+        mode, overwrite = "overwrite", "dynamic"
     if batch_id is not None:
         rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
         keys, mode, overwrite = (*keys, BATCH_COLUMN), "overwrite", "dynamic"

@@ -20,10 +20,11 @@ from slugline.plans.params import TimeRange
 from slugline.schema import EVENT_COLUMNS, EVENT_FIELDS, EVENT_SCHEMA, QUARANTINE_SCHEMA
 
 
-def _with_path_values(scanned: DataFrame) -> DataFrame:
+def with_path_values(scanned: DataFrame, *more: str) -> DataFrame:
+    """The event columns, service and api as their folders name them, and any further ones."""
     return scanned.withColumns(
         {name: restored_value(F.col(name)) for name in ("service", "api")}
-    ).select(*EVENT_COLUMNS)
+    ).select(*EVENT_COLUMNS, *more)
 
 
 def scan_events(spark: SparkSession, root: str, span: TimeRange | None = None) -> DataFrame:
@@ -43,12 +44,12 @@ def scan_events(spark: SparkSession, root: str, span: TimeRange | None = None) -
         days = ",".join(str(span.first_day + timedelta(days=offset)) for offset in range(span.day_count))
         try:
             listed = reader.option("basePath", root).parquet(f"{root}/service=*/api=*/dt={{{days}}}")
-            return _with_path_values(listed)
+            return with_path_values(listed)
         except AnalysisException as error:
             # None of the days has a folder; the plain scan below then has no row of them either.
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-    return _with_path_values(reader.parquet(root))
+    return with_path_values(reader.parquet(root))
 
 
 def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
@@ -148,4 +149,4 @@ def union_by_name_scan(spark: SparkSession, root: str, cover: dict[str, list[str
     united = parts[0]
     for part in parts[1:]:
         united = united.unionByName(part)
-    return _with_path_values(united)
+    return with_path_values(united)
