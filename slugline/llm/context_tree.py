@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from slugline.llm.common import slices, written
 from slugline.llm.mixing import token_count
@@ -21,22 +21,24 @@ BLOCK_BYTES = 1 << 19
 # Rows of an Arrow batch whose texts are Python objects at a time.
 ROWS_AT_ONCE = 256
 WORDS_HELD = 1 << 17
-# Entries of a look-up table that one broadcast may hold; a larger one takes several passes.
+# Entries of a look-up table that go to every task, about 50 MB; the rest is joined.
 TABLE_ENTRIES = 2_000_000
+# An ending with more than this part of all grams is dealt by one byte more.
+HOT_SHARE = 1024
 
 
 def lower_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace").lower()
 
 
-def sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sum_by_key(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys, ascending, with the sums of their counts."""
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
+    keys = keys[order]
     if not len(keys):
-        return keys, counts
+        return keys, *counts
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return keys[starts], np.add.reduceat(counts, starts)
+    return keys[starts], *(np.add.reduceat(count[order], starts) for count in counts)
 
 
 # --- grams -------------------------------------------------------------------------------------
@@ -81,27 +83,57 @@ def gram_blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield block()
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
-    """(gram, n): every gram of `rows` (text, learn) with its count in the texts to learn from."""
+def counted_texts(rows: DataFrame) -> DataFrame:
+    """(gram, word, n, seen) of `rows` (text, learn), partly counted: grams with a null word, words with gram -1.
+
+    `n` counts the texts to learn from, `seen` all of them. Both kinds come from one reading of the texts.
+    """
 
     def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [(np.array([], np.int64), np.array([], np.int64))], 0
+        none = np.array([], np.int64)
+        held, size = [(none, none, none)], 0
+        words: Counter[bytes] = Counter()
+        learnt: Counter[bytes] = Counter()
+
+        def words_out() -> Iterator[pa.RecordBatch]:
+            names = list(words)
+            for part in slices(len(names), 1 << 16):
+                mine = names[part]
+                n, seen = [learnt[w] for w in mine], [words[w] for w in mine]
+                arrays = [pa.array(np.full(len(mine), -1)), pa.array(mine, pa.binary()), pa.array(n, pa.int64()), pa.array(seen, pa.int64())]
+                yield pa.RecordBatch.from_arrays(arrays, _COUNTED)
+            words.clear()
+            learnt.clear()
+
         for batch in batches:
             for part in (batch.slice(k, ROWS_AT_ONCE) for k in range(0, batch.num_rows, ROWS_AT_ONCE)):
                 learn = np.array(part.column(1).to_pylist(), bool)
-                for grams, owner in gram_blocks([lower_bytes(t.as_py()) for t in part.column(0)]):
+                texts = [lower_bytes(t.as_py()) for t in part.column(0)]
+                for text, learns in zip(texts, learn.tolist(), strict=True):
+                    found = text.split()
+                    words.update(found)
+                    if learns:
+                        learnt.update(found)
+                    if len(words) > WORDS_HELD:
+                        yield from words_out()
+                for grams, owner in gram_blocks(texts):
                     # The lowest bit tells whether a text is learnt from, so one sort counts both.
                     seen, n = np.unique(grams << 1 | learn[owner], return_counts=True)
-                    held.append((seen >> 1, np.where(seen & 1 == 1, n, 0)))
+                    held.append((seen >> 1, np.where(seen & 1 == 1, n, 0), n))
                     size += len(seen)
                     if size > 2 * BLOCK_BYTES:
                         held, size = [sum_by_key(*map(np.concatenate, zip(*held, strict=True)))], 0
-        keys, counts = sum_by_key(*map(np.concatenate, zip(*held, strict=True)))
+        yield from words_out()
+        keys, n, seen = sum_by_key(*map(np.concatenate, zip(*held, strict=True)))
         for part in slices(len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(counts[part])], ["gram", "n"])
+            arrays = [pa.array(keys[part]), pa.nulls(len(keys[part]), pa.binary()), pa.array(n[part]), pa.array(seen[part])]
+            yield pa.RecordBatch.from_arrays(arrays, _COUNTED)
+
+    partial = rows.select("text", "learn").mapInArrow(per_partition, "gram long, word binary, n long, seen long")
+    return partial.groupBy("gram", "word").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+
 
-    partial = rows.select("text", "learn").mapInArrow(per_partition, "gram long, n long")
-    return partial.groupBy("gram").agg(F.sum("n").alias("n"))
+_COUNTED = ["gram", "word", "n", "seen"]
 
 
 # --- the tree ----------------------------------------------------------------------------------
@@ -129,14 +161,15 @@ class Nodes:
     ones: np.ndarray
     weighted: np.ndarray  # log weighted probability
     own: np.ndarray  # share of the node's own estimate in it, against its children's
+    children: np.ndarray  # log weighted probability of all children together
 
     @classmethod
     def of(cls, keys, zeros, ones, children=None) -> Nodes:
         kt = log_kt(zeros, ones)
         if children is None:
-            return cls(keys, zeros, ones, kt, np.ones(len(keys)))
+            return cls(keys, zeros, ones, kt, np.ones(len(keys)), np.zeros(len(keys)))
         weighted = np.log(0.5) + np.logaddexp(kt, children)
-        return cls(keys, zeros, ones, weighted, np.exp(np.log(0.5) + kt - weighted))
+        return cls(keys, zeros, ones, weighted, np.exp(np.log(0.5) + kt - weighted), children)
 
     def shorter(self, depth: int) -> Nodes:
         """The nodes of contexts of `depth` bytes above these, which are one byte longer."""
@@ -158,10 +191,10 @@ def deepest(grams: np.ndarray, counts: np.ndarray) -> Nodes:
     return Nodes.of(keys, *totals)
 
 
-def subtree(grams: np.ndarray, counts: np.ndarray) -> dict[int, Nodes]:
-    """The nodes of all depths from DEPTH down to TOP."""
+def subtree(grams: np.ndarray, counts: np.ndarray, top: int) -> dict[int, Nodes]:
+    """The nodes of all depths from DEPTH down to `top`."""
     levels = {DEPTH: deepest(grams, counts)}
-    for depth in range(DEPTH - 1, TOP - 1, -1):
+    for depth in range(DEPTH - 1, top - 1, -1):
         levels[depth] = levels[depth + 1].shorter(depth)
     return levels
 
@@ -186,136 +219,129 @@ def log10_predictions(grams: np.ndarray, levels: dict[int, Nodes]) -> np.ndarray
     return np.log10(chance).sum(axis=1)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
-    held = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    return tuple(map(np.concatenate, zip(*held, strict=True))) if held else (np.array([], np.int64),) * 2
+def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+    """gram, n, seen and hot of all rows of a task."""
+    kinds = (np.int64, np.int64, np.int64, bool)
+    held = [[b.column(c).to_numpy(zero_copy_only=False) for c in ("gram", "n", "seen", "hot")] for b in batches]
+    held = held or [[np.array([]) for _ in kinds]]
+    return tuple(np.concatenate(x).astype(kind) for x, kind in zip(zip(*held, strict=True), kinds, strict=True))
+
+
+def ending(gram: Column, depth: int) -> Column:
+    """The nearest `depth` bytes of a gram's context."""
+    return F.shiftright(gram, 8).bitwiseAND(F.lit((1 << 8 * depth) - 1))
 
 
 def gram_scores(counts: DataFrame) -> DataFrame:
-    """(gram, log10p) for every gram of `counts` (gram, n); grams of count 0 get one as well.
+    """(gram, log10p, seen) for every gram of `counts` (gram, n, seen); grams of count 0 get one as well.
 
-    All grams whose contexts end in the same TOP bytes are in one task, which holds their part
-    of the tree. That part grows with the distinct grams alone, of which the alphabet leaves
-    few. The TOP upper levels are summed by Spark: at most 255 nodes for each of 256 bytes.
+    Grams whose contexts end in the same TOP bytes are in one task, which holds their part of the
+    tree. An ending that has more than a `HOT_SHARE`-th of all grams is dealt by one byte more, and
+    the nodes of TOP bytes above its parts are summed by Spark: at most HOT_SHARE endings of 255 nodes. So are
+    the upper levels of all: at most 255 nodes for each of 256 bytes. Only these two sums reach the driver.
     """
     spark = counts.sparkSession
-    ending = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1))
-    dealt = written(counts.repartition(ending), "grams")
-    together = dealt.repartition(ending)
+    held = written(counts, "grams")
+    sizes = held.groupBy(ending(F.col("gram"), TOP).alias("ending")).agg(F.count("*").alias("n"))
+    hot = sizes.where(F.col("n") * HOT_SHARE > held.count()).select("ending").collect()
+    far, near = ending(F.col("gram"), TOP + 1), ending(F.col("gram"), TOP)
+    # At most HOT_SHARE rows.
+    marks = spark.createDataFrame([(row["ending"], True) for row in hot], "ending long, hot boolean")
+    dealt = held.withColumn("ending", near).join(F.broadcast(marks), "ending", "left")
+    split = F.coalesce("hot", F.lit(False))
+    together = dealt.select("gram", "n", "seen", split.alias("hot"), F.when(split, far).otherwise(near).alias("place")).repartition("hot", "place")
+    together = written(together, "dealt").repartition("hot", "place")
+    sums = "key long, depth int, zeros double, ones double, weighted double"
 
     def upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, n = _gathered(batches)
-        nodes = subtree(grams, n)[TOP] if len(grams) else None
-        for part in slices(len(nodes.keys) if nodes else 0, 1 << 16):
-            arrays = [pa.array(x[part]) for x in (nodes.keys, nodes.zeros, nodes.ones, nodes.weighted)]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "zeros", "ones", "weighted"])
-
-    short = F.col("key").bitwiseAND(F.lit((1 << 8 * TOP) - 1))
-    sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
-    top = together.mapInArrow(upper, "key long, zeros double, ones double, weighted double")
-    rows = top.groupBy(short.alias("key")).agg(*sums).orderBy("key").toPandas()
-    one = Nodes.of(*(rows[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")))
+        grams, n, _, is_hot = _gathered(batches)
+        for mine, top in ((is_hot, TOP + 1), (~is_hot, TOP)):
+            nodes = subtree(grams[mine], n[mine], top)[top] if mine.any() else None
+            for part in slices(len(nodes.keys) if nodes else 0, 1 << 16):
+                values = [pa.array(x[part]) for x in (nodes.keys, nodes.zeros, nodes.ones, nodes.weighted)]
+                depth = pa.array(np.full(len(values[0]), top, np.int32))
+                yield pa.RecordBatch.from_arrays([values[0], depth, *values[1:]], ["key", "depth", "zeros", "ones", "weighted"])
+
+    tops = written(together.mapInArrow(upper, sums), "upper_nodes")
+    totals = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
+
+    def summed(depth: int) -> Nodes:
+        """The nodes one byte above the stored ones of `depth`."""
+        short = F.col("key").bitwiseAND(F.lit((1 << 8 * depth) - 1))
+        rows = tops.where(F.col("depth") == depth).groupBy(short.alias("key")).agg(*totals).orderBy("key").toPandas()
+        return Nodes.of(*(rows[c].to_numpy() for c in ("key", "zeros", "ones", "weighted")))
+
+    two = summed(TOP + 1)
+    parts = [summed(TOP), two.shorter(TOP - 1)]
+    one = _united(parts)
     # Plain values, because a broadcast cannot carry classes to workers that lack this package.
-    shallow = spark.sparkContext.broadcast({d: astuple(nodes) for d, nodes in ((1, one), (0, one.shorter(0)))})
+    shallow = spark.sparkContext.broadcast({d: astuple(nodes) for d, nodes in ((2, two), (1, one), (0, one.shorter(0)))})
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, n = _gathered(batches)
-        levels = subtree(grams, n) if len(grams) else {}
-        levels |= {depth: Nodes(*values) for depth, values in shallow.value.items()}
-        for part in slices(len(grams), 1 << 16):
-            log10p = log10_predictions(grams[part], levels)
-            yield pa.RecordBatch.from_arrays([pa.array(grams[part]), pa.array(log10p)], ["gram", "log10p"])
-
-    return together.mapInArrow(told, "gram long, log10p double")
+        grams, n, seen, is_hot = _gathered(batches)
+        known = {depth: Nodes(*values) for depth, values in shallow.value.items()}
+        for mine, top in ((is_hot, TOP + 1), (~is_hot, TOP)):
+            own, own_seen = grams[mine], seen[mine]
+            levels = {**known, **subtree(own, n[mine], top)} if mine.any() else {}
+            for part in slices(len(own), 1 << 16):
+                arrays = [own[part], log10_predictions(own[part], levels), own_seen[part]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), ["gram", "log10p", "seen"])
+
+    return together.mapInArrow(told, "gram long, log10p double, seen long")
+
+
+def _united(parts: list[Nodes]) -> Nodes:
+    """The nodes of one depth whose children are in several parts of the tree."""
+    keys, at = np.unique(np.concatenate([p.keys for p in parts]), return_inverse=True)
+    # Log weighted probabilities of children add up; a node's own estimate is made anew of all counts.
+    children = [p.children for p in parts]
+    zeros, ones, below = (
+        np.bincount(at, np.concatenate(x), len(keys))
+        for x in ([p.zeros for p in parts], [p.ones for p in parts], children)
+    )
+    return Nodes.of(keys, zeros, ones, below)
 
 
 # --- words -------------------------------------------------------------------------------------
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(word, n): every word of `rows` (text, learn) with its count in the texts to learn from."""
-
-    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
-
-        def out() -> Iterator[pa.RecordBatch]:
-            words, counts = list(held), list(held.values())
-            for part in slices(len(words), 1 << 16):
-                arrays = [pa.array(words[part], pa.binary()), pa.array(counts[part], pa.int64())]
-                yield pa.RecordBatch.from_arrays(arrays, ["word", "n"])
-            held.clear()
-
-        for batch in batches:
-            for text, learn in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = lower_bytes(text.as_py()).split()
-                held.update(words) if learn else held.update(dict.fromkeys(words, 0))
-                if len(held) > WORDS_HELD:
-                    yield from out()
-        yield from out()
-
-    return rows.select("text", "learn").mapInArrow(per_partition, "word binary, n long").groupBy("word").agg(
-        F.sum("n").alias("n")
-    )
-
-
 def word_table(words: DataFrame) -> tuple[DataFrame, int]:
-    """(hash, n) of the words that were learnt, and the seed of a hash that tells all words apart."""
+    """(hash, n, seen) of `words` (word, n, seen), and the seed of a hash that tells all words apart."""
     spark = words.sparkSession
     total = words.count()
     for salt in range(100):
-        hashed = words.select(F.xxhash64(F.lit(salt), "word").alias("hash"), "n")
+        hashed = words.select(F.xxhash64(F.lit(salt), "word").alias("hash"), "n", "seen")
         if hashed.select("hash").distinct().count() == total:
             seed = spark.range(1).select(F.xxhash64(F.lit(salt))).head()[0]
-            return hashed.where("n > 0"), seed & (2**64 - 1)
+            return hashed, seed & (2**64 - 1)
     raise ValueError("no seed tells all words apart")
 
 
 # --- looking up --------------------------------------------------------------------------------
 
-Measure = Callable[[list[str | None], "Table", int], list[np.ndarray]]
+def most_seen(entries: DataFrame, at_most: int) -> float:
+    """The least `seen` of the entries that one broadcast holds: those seen most, no more than `at_most`.
+
+    Entries are counted in steps of a sixteenth of a doubling, so the driver gets a few hundred rows.
+    """
+    step = F.floor(F.log2(F.col("seen").cast("double")) * 16)
+    steps = entries.groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.min("seen").alias("least")).collect()
+    held, least = 0, float("inf")
+    for row in sorted(steps, key=lambda row: -row["step"]):
+        held += row["n"]
+        if held > at_most:
+            break
+        least = row["least"]
+    return least
 
 
 def broadcast_table(entries: DataFrame) -> Broadcast:
-    """(hash table, bits of its homes) of (key, value); callers check its size."""
+    """(hash table, bits of its homes) of (key, value), which `most_seen` has bounded."""
     got = entries.toArrow()
     table = hash_table(got.column("key").to_numpy(), got.column("value").to_numpy())
     return entries.sparkSession.sparkContext.broadcast((table, slot_bits(max(1, len(got)))))
 
 
-def add_sums(rows: DataFrame, table: DataFrame, measure: Measure, names: list[str]) -> DataFrame:
-    """`rows` (.., text) without text, with sums over each text of what `table` (key, value) says.
-
-    A table of at most `TABLE_ENTRIES` goes to the tasks whole. A larger one is split by hash
-    and the texts are read once for each part, each time with one part in memory; the sums are
-    added up, equal rows together, so that any size gives the same sums.
-    """
-    parts = max(1, -(-table.count() // TABLE_ENTRIES))
-    kept = [c for c in rows.columns if c != "text"]
-    fields = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join([f"{c} {fields[c]}" for c in kept] + [f"{c} double" for c in names])
-    done = []
-    for k in range(parts):
-        mine = table.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == k) if parts > 1 else table
-        shared = broadcast_table(mine)
-
-        def per_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in (batch.slice(k, ROWS_AT_ONCE) for k in range(0, batch.num_rows, ROWS_AT_ONCE)):
-                    sums = measure(part.column("text").to_pylist(), *shared.value)
-                    arrays = [part.column(c) for c in kept] + [pa.array(x, pa.float64()) for x in sums]
-                    yield pa.RecordBatch.from_arrays(arrays, [*kept, *names])
-
-        done.append(rows.select(*kept, "text").mapInArrow(per_batch, schema))
-    if parts == 1:
-        return done[0]
-    whole = written(done[0], "sums")
-    for more in done[1:]:
-        whole = whole.unionByName(written(more, "sums"))
-    count = F.count("*") / F.lit(parts)
-    sums = whole.groupBy(*kept).agg(count.cast("int").alias("_rows"), *[(F.sum(c) / count).alias(c) for c in names])
-    return sums.select("*", F.explode(F.sequence(F.lit(1), "_rows")).alias("_row")).drop("_rows", "_row")
-
-
 Table = tuple[np.ndarray, np.ndarray]  # slots of keys and of values; an empty slot is (-1, 0)
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -355,30 +381,82 @@ def look_up(wanted: np.ndarray, table: Table, bits: int) -> np.ndarray:
     return values
 
 
-def gram_measure(texts: list[str | None], table: Table, bits: int) -> list[np.ndarray]:
-    total = np.zeros(len(texts))
-    for grams, owner in gram_blocks([lower_bytes(t) for t in texts]):
-        total += np.bincount(owner, look_up(grams, table, bits), len(texts))
-    return [total]
+def misses(keys: np.ndarray, owner: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """For each of n texts, its keys and how often it has them, as two list columns."""
+    order = np.lexsort((keys, owner))
+    keys, owner = keys[order], owner[order]
+    first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])))) if len(keys) else keys
+    times = np.diff(np.concatenate((first, [len(keys)]))) if len(keys) else keys
+    offsets = pa.array(np.searchsorted(owner[first] if len(keys) else owner, np.arange(n + 1)).astype(np.int32))
+    return tuple(pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int64))) for x in (keys[first] if len(keys) else keys, times))
 
 
-def word_measure(seed: int, base: float) -> Measure:
-    """Known words and the sum of log10((c + 1) / base) over them."""
+def looked_up(rows: DataFrame, words: DataFrame, grams: DataFrame, seed: int, base: float) -> DataFrame:
+    """`rows` (row_no, .., text) without text, with known, known_score and score out of one reading of the texts.
 
-    def measure(texts: list[str | None], table: Table, bits: int) -> list[np.ndarray]:
-        n_known, score = np.zeros(len(texts)), np.zeros(len(texts))
-        digest = xxhash.xxh64_intdigest
-        for k, text in enumerate(texts):
-            words = lower_bytes(text).split()
-            for part in slices(len(words), WORDS_HELD):
-                hashes = np.array([digest(w, seed) for w in words[part]], np.uint64).view(np.int64)
-                counts = look_up(hashes, table, bits)
-                counts = counts[counts > 0]
-                n_known[k] += len(counts)
-                score[k] += np.log10((counts + 1) / base).sum()
-        return [n_known, score]
+    The entries seen most, TABLE_ENTRIES of each table at most, go to every task. What a text has of
+    others is handed on in lists, and met by the rest of the tables in shuffled joins. Those keys
+    are rare, so they are no hot keys, and few, unless nearly every key is; the sums are the same at any size.
+    """
+    word_least, gram_least = most_seen(words, TABLE_ENTRIES), most_seen(grams, TABLE_ENTRIES)
+    often = F.col("seen") >= F.lit(word_least)
+    # A word's value is its count plus one, as 0 means that the table lacks it.
+    held_words = broadcast_table(words.where(often).select(F.col("hash").alias("key"), (F.col("n") + 1).alias("value")))
+    held_grams = broadcast_table(grams.where(F.col("seen") >= F.lit(gram_least)).select(F.col("gram").alias("key"), F.col("log10p").alias("value")))
+    kept = [c for c in rows.columns if c != "text"]
+    lists = ["gram_keys", "gram_times", "word_keys", "word_times"]
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join(
+        [f"{c} {fields[c]}" for c in kept] + [f"{c} double" for c in ("known", "known_score", "score")] + [f"{c} array<long>" for c in lists]
+    )
 
-    return measure
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            for part in (batch.slice(k, ROWS_AT_ONCE) for k in range(0, batch.num_rows, ROWS_AT_ONCE)):
+                texts = [lower_bytes(t) for t in part.column("text").to_pylist()]
+                n = len(texts)
+                score, known, known_score = np.zeros(n), np.zeros(n), np.zeros(n)
+                none = np.array([], np.int64)
+                rare, rare_words = [(none, none)], [(none, none)]
+                for keys, owner in gram_blocks(texts):
+                    found = look_up(keys, *held_grams.value)
+                    score += np.bincount(owner, found, n)
+                    rare.append((keys[found == 0], owner[found == 0]))
+                for k, text in enumerate(texts):
+                    split = text.split()
+                    for some in slices(len(split), WORDS_HELD):
+                        keys = np.array([digest(w, seed) for w in split[some]], np.uint64).view(np.int64)
+                        counts = look_up(keys, *held_words.value)
+                        known[k] += (counts > 1).sum()
+                        known_score[k] += np.log10(counts[counts > 1] / base).sum()
+                        lacked = keys[counts == 0]
+                        rare_words.append((lacked, np.full(len(lacked), k)))
+                both = [misses(*map(np.concatenate, zip(*pairs, strict=True)), n) for pairs in (rare, rare_words)]
+                arrays = [*(part.column(c) for c in kept), *map(pa.array, (known, known_score, score)), *both[0], *both[1]]
+                yield pa.RecordBatch.from_arrays(arrays, [*kept, "known", "known_score", "score", *lists])
+
+    first = written(rows.select(*kept, "text").mapInArrow(per_batch, schema), "first_sums")
+
+    def rest(keys: str, times: str) -> DataFrame:
+        return first.select("row_no", F.explode(F.arrays_zip(keys, times)).alias("x")).select("row_no", f"x.{keys}", f"x.{times}").toDF("row_no", "key", "times")
+
+    times = F.col("times")
+    more_score = (
+        rest("gram_keys", "gram_times")
+        .join(grams.where(F.col("seen") < F.lit(gram_least)).select(F.col("gram").alias("key"), "log10p"), "key")
+        .groupBy("row_no")
+        .agg(F.sum(times * F.col("log10p")).alias("more_score"))
+    )
+    more_words = (
+        rest("word_keys", "word_times")
+        .join(words.where(~often & (F.col("n") > 0)).select(F.col("hash").alias("key"), "n"), "key")
+        .groupBy("row_no")
+        .agg(F.sum(times).alias("more_known"), F.sum(times * F.log10((F.col("n") + 1) / F.lit(base))).alias("more_known_score"))
+    )
+    whole = first.join(more_score, "row_no", "left").join(more_words, "row_no", "left")
+    added = {c: F.col(c) + F.coalesce(f"more_{c}", F.lit(0)) for c in ("known", "known_score", "score")}
+    return whole.withColumns(added).select(*kept, *added)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -388,23 +466,25 @@ def score_texts(docs: DataFrame) -> DataFrame:
     `score` is the log10 probability of the text, A-Z in lower case, and of its end under the
     weighted context tree; `base_score` that of its words and end with counts plus one. Counts
     are over all rows with `learn`. Null texts are empty and have one token, the end. Repeated
-    rows are scored, and learnt, one by one. With nothing to learn from, every bit is even.
+    rows are scored, and learnt, one by one. With nothing to learn from, every bit is even. Other columns don't
+    matter, whatever their names. Texts are read twice, once to count and once to score, at any size.
     """
     rows = docs.select("doc_id", "learn", "text")
-    words = written(word_counts(rows), "words")
-    known, seed = word_table(words)
-    n_words, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
+    counted = written(counted_texts(rows), "counted")
+    words, seed = word_table(counted.where("word IS NOT NULL"))
+    learnt = words.where("n > 0")
+    n_words, distinct = learnt.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     ends = rows.where("learn").count()
     train_tokens, vocabulary = n_words + ends, distinct + (ends > 0)
     base = float(train_tokens + vocabulary + 1)
-    scores = written(gram_scores(gram_counts(rows)), "gram_scores")
+    scores = written(gram_scores(counted.where("word IS NULL").select("gram", "n", "seen")), "gram_scores")
 
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0))
-    sized = rows.withColumns({"n_bytes": n_bytes, "words": token_count(F.col("text"))})
-    by_words = add_words_and_grams(sized, known.toDF("key", "value"), scores.toDF("key", "value"), seed, base)
+    numbered = rows.withColumns({"n_bytes": n_bytes, "words": token_count(F.col("text")), "row_no": F.monotonically_increasing_id()})
+    sums = looked_up(numbered, words, scores, seed, base)
     unknown = F.col("words") - F.col("known")
     end_known = int(ends > 0)
-    return by_words.select(
+    return sums.select(
         "doc_id",
         "learn",
         (F.col("words") + 1).cast("long").alias("n_tokens"),
@@ -414,20 +494,3 @@ def score_texts(docs: DataFrame) -> DataFrame:
         F.col("score"),
         (-F.col("score") * float(np.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )
-
-
-def add_words_and_grams(rows: DataFrame, words: DataFrame, grams: DataFrame, seed: int, base: float) -> DataFrame:
-    """Both measures; read in one go over the texts when each table fits one broadcast."""
-    names = ["known", "known_score"]
-    if max(words.count(), grams.count()) <= TABLE_ENTRIES:
-        by_word, shared = word_measure(seed, base), broadcast_table(words)
-
-        def both(texts: list[str | None], table: Table, bits: int) -> list[np.ndarray]:
-            return [*by_word(texts, *shared.value), *gram_measure(texts, table, bits)]
-
-        return add_sums(rows, grams, both, [*names, "score"])
-    keyed = rows.withColumn("text_hash", F.xxhash64("text"))
-    first = written(add_sums(keyed, words, word_measure(seed, base), names), "word_sums")
-    second = written(add_sums(keyed, grams, gram_measure, ["score"]), "gram_sums").distinct()
-    same = first["doc_id"].eqNullSafe(second["doc_id"]) & (first["text_hash"] == second["text_hash"])
-    return first.join(second.select("doc_id", "text_hash", "score"), same).select(first["*"], second["score"])

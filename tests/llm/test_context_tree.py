@@ -58,10 +58,12 @@ def plain_scores():
     return [sum(math.log10(chance(g, s)) for g in grams[k] for s in range(8)) for k in range(len(TEXTS))]
 
 
-@pytest.mark.parametrize("entries", [2_000_000, 7])
-def test_scores(spark, monkeypatch, entries):
+@pytest.mark.parametrize(("entries", "share"), [(2_000_000, 1), (7, 1 << 40), (0, 20)])
+def test_scores(spark, monkeypatch, entries, share):
     monkeypatch.setattr(C, "TABLE_ENTRIES", entries)
+    monkeypatch.setattr(C, "HOT_SHARE", share)
     docs = spark.createDataFrame(TEXTS, "doc_id long, text string, learn boolean")
+    docs = docs.selectExpr("*", "'x' AS row_no", "1 AS words", "2 AS n_bytes", "3 AS score", "4 AS known")
     found = C.score_texts(docs).collect()
     key = lambda r: (r[0] is None, r[0] or 0)
     want = sorted(zip((t[0] for t in TEXTS), plain_scores(), strict=True), key=key)
@@ -81,7 +83,7 @@ def test_scores(spark, monkeypatch, entries):
 def test_bytes_share_one(spark):
     grams = np.array([int.from_bytes(b"abcde" + bytes([s]), "big") for s in range(256)])
     counts = np.where(grams & 255 == ord("f"), 9, np.where(grams & 255 == ord("g"), 2, 0))
-    levels = C.subtree(grams, counts)
+    levels = C.subtree(grams, counts, C.TOP)
     levels[1] = levels[2].shorter(1)
     levels[0] = levels[1].shorter(0)
     assert math.isclose((10 ** C.log10_predictions(grams, levels)).sum(), 1, rel_tol=1e-9)
