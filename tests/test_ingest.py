@@ -25,6 +25,25 @@ def events_of(spark, *bodies):
     return classified.orderBy("n").collect()
 
 
+@pytest.mark.parametrize("value", ["1", "1" * 1500, '"' + "x" * 21_000_000 + '"'], ids=["short", "digits", "long"])
+def test_repeated_keys_beside_values_of_any_length(spark, value):
+    """What a value's length is decides nothing."""
+    rejected = [
+        f'{{"contents":{{"new":{{"n":{value}}},"new":null}}}}',
+        f'{{"service":"a","x":{value},"service":"b"}}',
+        f'{{"service":"a","x":{value},"\\u0073ervice":"b"}}',
+        f'{{"contents":{{"\\u006fld":null,"x":{value},"old":null}}}}',
+    ]
+    kept = [
+        f'{{"x":{value},"extra":1,"extra":2}}',
+        f'{{"id":"i","contents":{{"new":{{"id":{value},"id":2}},"x":{{"old":1,"old":2}}}}}}',
+        f'{{"service":"service","api":"service","x":{value},"y":{{"service":1,"service":2}}}}',
+        f'{{"service":"\\u0073","x":{value}}}',
+    ]
+    found = reasons(spark, *[signed(body) for body in rejected + kept])
+    assert found == [I.PARSE_ERROR] * len(rejected) + [None] * len(kept)
+
+
 def test_signature_encodings(spark):
     headers = [HEX, HEX.upper(), B64, f"sha256={HEX}", f"SHA256={HEX}", f" \tsha256={B64} "]
     assert reasons(spark, *[(RAW, header, AT) for header in headers]) == [None] * len(headers)

@@ -1,0 +1,295 @@
+"""Guarded writes, de-duplication, compaction, backfill, retention and payload policies."""
+
+import hashlib
+import json
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from builders import SECRET, day, days, deliveries, events, payload, rows, signed
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from slugline.operators import dedup as D
+from slugline.operators import ingest as I
+from slugline.operators import inventory as N
+from slugline.operators import maintenance as K
+from slugline.operators import metrics as M
+from slugline.operators import privacy as R
+from slugline.operators import sink as S
+from slugline.plans.ingest import backfill_days, ingest_new, unprocessed_files
+from slugline.schema import EVENT_COLUMNS, RAW_SCHEMA
+from slugline.sources import events as E
+from slugline.sources.files import partition_files
+from slugline.sources.webhooks import raw_webhook_stream
+from slugline.streaming.ingest import start_ingest
+
+
+def plan_of(frame, mode="simple"):
+    return frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), mode)
+
+
+def contents_of(root, pattern="*.parquet"):
+    return {str(p.relative_to(root)): hashlib.sha256(p.read_bytes()).hexdigest() for p in Path(root).rglob(pattern)}
+
+
+def sent(at_day: str, number: int, minutes: int = 0, **envelope):
+    """A delivery of a body of its own, received at noon plus some minutes."""
+    body = payload("edit", "DRAFT", "PUBLISH", id=f"c{number}", **{"service": "s", "api": "a", **envelope})
+    raw, digest, _ = signed(body)
+    return raw, digest, datetime.combine(day(at_day), datetime.min.time()) + timedelta(hours=3, minutes=minutes)
+
+
+# --- guarded writes ----------------------------------------------------------------------------
+
+
+def some_events(spark, *on):
+    return events(spark, *[{"service": "s", "api": "a", "dt": day(d)} for d in on])
+
+
+@pytest.mark.parametrize("mode", ["append", "overwrite"])
+def test_the_input_of_a_write_runs_once(spark, tmp_path, mode):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    table = some_events(spark, *["06-29"] * 40).withColumn("raw_payload", counted("raw_payload"))
+    assert S.write_events(table, str(tmp_path / "events"), mode=mode) == 40
+    assert seen.value == 40
+
+
+def test_a_replacement_without_events_leaves_the_table(spark, tmp_path):
+    root = str(tmp_path / "events")
+    S.write_events(some_events(spark, "06-29"), root)
+    before = contents_of(root)
+    table = some_events(spark, "06-30")
+    for empty in (table.limit(0), table.where("service = 'other'"), table.where("false"), events(spark)):
+        with pytest.raises(ValueError, match="no events"):
+            S.write_events(empty, root, mode="overwrite")
+    with pytest.raises(PySparkException, match="raw_payload must not be null"):
+        S.write_events(table.withColumn("raw_payload", F.lit(None).cast("string")), root, mode="overwrite")
+    assert contents_of(root) == before
+    assert S.write_events(table, root, mode="overwrite") == 1
+    assert [r.dt for r in E.scan_events(spark, root).collect()] == [day("06-30")]
+
+
+# --- de-duplication ----------------------------------------------------------------------------
+
+
+def stored(spark, root):
+    return (
+        E.scan_events(spark, S.events_root(root)).count(),
+        E.scan_quarantine(spark, S.quarantine_root(root)).count(),
+    )
+
+
+def test_ingesting_again_adds_nothing(spark, tmp_path):
+    root = str(tmp_path / "ingested")
+    good = [sent("06-28", 1), sent("06-29", 2), sent("06-30", 3)]
+    bad = [(b"{", signed("{")[1], good[0][2]), (b"", None, good[1][2])]
+    batch = deliveries(spark, *good, *bad)
+    for raw in (batch, batch, batch.union(batch)):
+        ingest_new(raw, SECRET, root)
+        assert stored(spark, root) == (3, 2)
+    # The same body at another time is another delivery, and so is another body at the same time.
+    more = deliveries(spark, sent("06-28", 1, minutes=1), sent("06-28", 4), *good)
+    ingest_new(more, SECRET, root)
+    assert stored(spark, root) == (5, 2)
+    ingest_new(batch.limit(0), SECRET, root)
+    assert stored(spark, root) == (5, 2)
+
+
+def test_only_the_days_of_the_batch_are_compared(spark, tmp_path):
+    root = str(tmp_path / "ingested")
+    ingest_new(deliveries(spark, *[sent(f"06-{d}", d) for d in range(10, 20)]), SECRET, root)
+    raw = deliveries(spark, sent("06-12", 12), sent("06-12", 99))
+    plan = plan_of(D.new_deliveries(raw, root), "formatted")
+    pruned = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert pruned and all("2026-06-12" in line for line in pruned) and "LeftAnti" in plan and "LeftSemi" in plan
+    assert D.new_deliveries(raw, root).count() == 1
+
+
+def test_a_stream_stores_what_lands_again_once(spark, tmp_path):
+    landed, root, progress = (str(tmp_path / name) for name in ("landed", "streamed", "progress"))
+    first = [sent("06-28", k) for k in range(6)] + [(b"{", "bad", sent("06-28", 0)[2])]
+
+    def run(*rows_):
+        deliveries(spark, *rows_).drop("n").coalesce(1).write.mode("append").parquet(landed)
+        stream = raw_webhook_stream(spark, landed, max_files_per_trigger=1)
+        query = start_ingest(stream, SECRET, root, progress, drop_repeated_within="7 days")
+        query.awaitTermination()
+        return stored(spark, root)
+
+    assert run(*first, first[0]) == (6, 1)
+    # A restart from the checkpoint, repeats of an earlier micro-batch, and a delivery that is years late.
+    late = sent("06-28", 7)[:2] + (datetime(2020, 1, 1),)
+    assert run(first[2], first[6], sent("06-28", 2, minutes=5), late) == (8, 1)
+    assert run(late, first[2]) == (8, 1)
+
+
+# --- compaction and retention ------------------------------------------------------------------
+
+
+def test_compaction_merges_small_files_and_follows_changes(spark, tmp_path):
+    source, target = str(tmp_path / "streamed"), str(tmp_path / "compacted")
+    classified = [I.classify_deliveries(deliveries(spark, sent("06-28", k), sent("06-29", k), sent("06-29", k, api="b/c")), SECRET) for k in range(3)]
+    for number, batch in enumerate(classified[:2]):
+        S.write_deliveries(batch, source, batch_id=number)
+    table = S.events_root(source)
+    plan = K.compaction_plan(spark, table, target).orderBy("dt", "api").collect()
+    assert [(r.api, r.dt, r.file_count, r.fragmented, r.due) for r in plan] == [
+        ("a", day("06-28"), 2, True, True), ("a", day("06-29"), 2, True, True), ("b_c", day("06-29"), 2, True, True),
+    ]
+    assert K.compact_events(spark, table, target, before=day("06-29")) == 1
+    assert K.compact_events(spark, table, target) == 2
+    same = lambda: sorted(rows(E.scan_events(spark, target)), key=repr) == sorted(rows(E.scan_events(spark, table)), key=repr)
+    assert same() and {r.file_count for r in N.partition_inventory(spark, target).collect()} == {1}
+    assert not any("ingest_batch" in name for name in contents_of(target))
+    assert K.compact_events(spark, table, target) == 0
+    kept = contents_of(target)
+    S.write_deliveries(classified[2].where("day(dt) = 29 AND api = 'a'"), source, batch_id=2)
+    assert K.compact_events(spark, table, target) == 1 and same()
+    changed = {name for name, digest in contents_of(target).items() if kept.get(name) != digest}
+    assert changed and all("api=a/dt=2026-06-29" in name for name in changed)
+
+
+def test_listing_opens_no_file(spark, tmp_path):
+    root = str(tmp_path / "events")
+    table = events(spark, *[{"service": "a+b%c", "api": "ü:é", "dt": day(f"06-{d}")} for d in (10, 11, 12)], {"service": "", "api": "7", "dt": day("06-01")})
+    S.write_events(table, root)
+    expired = K.expired_partitions(spark, root, day("06-11"))
+    plan = plan_of(expired)
+    assert "binaryFile" in plan and "parquet" not in plan.lower().replace("*.parquet", "") and "content#" not in plan
+    assert sorted((r.service, r.api, r.dt, r.file_count) for r in expired.collect()) == [
+        ("", "7", day("06-01"), 1), ("a+b%c", "ü:é", day("06-10"), 1),
+    ]
+    for file in Path(root).rglob("*.parquet"):
+        file.write_bytes(b"not parquet")
+    assert K.expired_partitions(spark, root, day("07-01")).count() == 4
+    assert {(r.service, r.api) for r in partition_files(spark, root).collect()} == {("", "7"), ("a+b%c", "ü:é")}
+    assert K.partition_sizes(spark, str(tmp_path / "nothing")).count() == 0
+
+
+# --- backfill ----------------------------------------------------------------------------------
+
+
+def test_backfill_rebuilds_the_days_concerned_and_no_others(spark, tmp_path):
+    landing, root, ledger = (str(tmp_path / name) for name in ("landing", "table", "ledger"))
+
+    def land(*rows_):
+        deliveries(spark, *rows_).drop("n").coalesce(1).write.mode("append").parquet(landing)
+
+    def run():
+        return backfill_days(spark, landing, SECRET, root, ledger, schema=RAW_SCHEMA)
+
+    land(sent("06-28", 1), sent("06-29", 2), sent("06-29", 3, api="gone"), (b"{", None, sent("06-28", 0)[2]))
+    assert run() == [day("06-28"), day("06-29")] and stored(spark, root) == (3, 1)
+    assert run() == [] and unprocessed_files(spark, landing, ledger).count() == 0
+    before = contents_of(root)
+    land(sent("06-29", 4))
+    assert run() == [day("06-29")] and stored(spark, root) == (4, 1)
+    untouched = {name: digest for name, digest in before.items() if "2026-06-28" in name}
+    assert untouched.items() <= contents_of(root).items()
+    # A landed file that is taken back takes its rows along once its day is rebuilt.
+    first = min(Path(landing).glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    first.unlink()
+    land(sent("06-29", 5))
+    assert run() == [day("06-29")]
+    on_day = E.scan_events(spark, S.events_root(root)).where(F.col("dt") == F.lit(day("06-29")))
+    assert sorted(r.content_id for r in on_day.collect()) == ["c4", "c5"]
+    assert untouched.items() <= contents_of(root).items()
+
+
+# --- payload policies --------------------------------------------------------------------------
+
+BODY = {
+    "service": "s", "api": "a", "id": "c1", "type": "edit", "editor": "jane",
+    "contents": {
+        "old": None,
+        "new": {"status": ["PUBLISH"], "updatedAt": "2026-06-01T00:00:00Z", "title": "t", "publishValue": {"createdAt": "x", "body": {"n": 1}}},
+    },
+}
+
+
+def test_masking_keeps_what_ingest_reads(spark):
+    text = json.dumps(BODY)
+    frame = spark.createDataFrame([(text,), ("no json",), ('{"id":{"deep":"secret"}}',), ("null",), (None,)], "t string")
+    masked, broken, wrong, null, missing = [r[0] for r in frame.select(R.masked_payload(F.col("t"), SECRET)).collect()]
+    got = json.loads(masked)
+    new = got["contents"]["new"]
+    assert {k: got[k] for k in ("service", "api", "id", "type")} == {k: BODY[k] for k in ("service", "api", "id", "type")}
+    assert new["status"] == ["PUBLISH"] and new["updatedAt"] == BODY["contents"]["new"]["updatedAt"]
+    assert new["publishValue"]["createdAt"] == "x" and got["contents"]["old"] is None
+    for hidden in (got["editor"], new["title"], new["publishValue"]["body"]):
+        assert len(hidden) == 64
+    assert "jane" not in masked and "secret" not in wrong and len(json.loads(wrong)["id"]) == 64
+    assert (broken, null, missing) == (None, "null", None)
+    other = json.loads(spark.createDataFrame([(text,)], "t string").select(R.masked_payload(F.col("t"), b"other")).head()[0])
+    assert other["editor"] != got["editor"]
+    (again,) = I.normalize_events(deliveries(spark, signed(masked)), SECRET).collect()
+    (plain,) = I.normalize_events(deliveries(spark, signed(text)), SECRET).collect()
+    assert [again[c] for c in EVENT_COLUMNS if c != "raw_payload"] == [plain[c] for c in EVENT_COLUMNS if c != "raw_payload"]
+
+
+def test_split_tables_hold_each_their_part(spark, tmp_path):
+    root = str(tmp_path / "split")
+    table = events(
+        spark,
+        {"service": "a/b", "api": None, "dt": day("06-29"), "raw_payload": "one", "event_kind": "SAVE_DRAFT"},
+        {"service": "a/b", "api": None, "dt": day("06-29"), "raw_payload": "one"},
+        {"service": "s", "api": "x", "dt": day("06-30"), "raw_payload": ""},
+    )
+    R.write_split_events(table, root)
+    split, payloads = R.scan_split_events(spark, root), R.scan_payloads(spark, root)
+    assert split.count() == 3 and split.where("raw_payload IS NOT NULL").count() == 0
+    assert spark.read.parquet(f"{root}/table=payloads").where("event_kind IS NOT NULL").count() == 0
+    whole = str(tmp_path / "whole")
+    S.write_events(table, whole)
+    assert sorted(rows(R.join_payloads(split, payloads)), key=repr) == sorted(rows(E.scan_events(spark, whole)), key=repr)
+
+
+def test_allowed_columns(spark):
+    (row,) = R.only_columns(some_events(spark, "06-29").withColumn("event_kind", F.lit("SAVE_DRAFT")), ["event_kind"]).collect()
+    assert (row.event_kind, row.service, row.dt, row.raw_payload, row.content_id) == ("SAVE_DRAFT", "s", day("06-29"), "", None)
+    assert rows(R.only_columns(some_events(spark, "06-29"), EVENT_COLUMNS)) == rows(some_events(spark, "06-29"))
+    with pytest.raises(ValueError, match="no event columns"):
+        R.only_columns(some_events(spark, "06-29"), ["password"])
+    assert R.drop_payload(some_events(spark, "06-29")).head().raw_payload == ""
+
+
+# --- drafts met by the publications of a range ---------------------------------------------------
+
+
+def history(spark, tmp_path):
+    """Many drafts over two months, few publications in the last days."""
+    ids = spark.range(3000)
+    first = F.lit(datetime(2026, 5, 1))
+    drafted = first + F.make_dt_interval(hours=F.col("id") % 1400)
+    base = ids.select(F.lit("s").alias("service"), F.concat(F.lit("a"), F.col("id") % 3).alias("api"), F.concat(F.lit("c"), "id").alias("content_id"), "id")
+    drafts = base.select("service", "api", "content_id", F.lit("INITIAL_DRAFT").alias("event_kind"), drafted.alias("received_at"), drafted.alias("draft_created_at"))
+    done = F.lit(datetime(2026, 6, 29, 2)) + F.make_dt_interval(hours=F.col("id") % 40)
+    published = base.where("id % 50 = 0").select("service", "api", "content_id", F.lit("PUBLISH_FROM_DRAFT").alias("event_kind"), done.alias("received_at"), done.alias("content_published_at"))
+    both = drafts.unionByName(published, allowMissingColumns=True)
+    day_of = F.to_date(F.col("received_at") + F.make_dt_interval(hours=F.lit(9)))
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in T.StructType(list(E.EVENT_SCHEMA)) if f.name not in {*both.columns, "dt", "raw_payload"}}
+    root = str(tmp_path / "history")
+    S.write_events(both.withColumns({**absent, "dt": day_of, "raw_payload": F.lit("{}")}).repartition(4), root)
+    return E.scan_events(spark, root)
+
+
+def test_drafts_are_filtered_before_they_are_shuffled(spark, tmp_path):
+    table, span = history(spark, tmp_path), days("06-30", "06-30")
+    restricted, whole = M.average_draft_to_publish(table, span), M.average_draft_to_publish(table, span, sent_contents=0)
+    lines = plan_of(restricted).splitlines()
+    (semi,) = [k for k, line in enumerate(lines) if "BroadcastHashJoin" in line and "LeftSemi" in line]
+    scan = next(k for k in range(semi, len(lines)) if "FileScan" in lines[k])
+    # The drafts' scan meets the publications' keys in its own tasks, before anything of it is aggregated or shuffled.
+    assert not any("Exchange" in line or "Aggregate" in line for line in lines[semi + 1 : scan])
+    assert any("partial_min" in line for line in lines[:semi])
+    assert "Join" not in plan_of(whole) and plan_of(whole).count("FileScan") == 1
+    assert rows(restricted) == rows(whole) and len(rows(restricted)) == 3
+    assert rows(M.average_draft_to_publish(table, days("07-20", "07-21"))) == []
