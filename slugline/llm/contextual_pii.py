@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -78,8 +78,8 @@ _EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>#$%&*|"
 # Shapes, looser than the fixed forms, that an identifier of a kind may have.
 _SHAPES = (
     ("email", re.compile(r"[\w.%+-]+(?:@|\[at\]|\(at\))[\w.-]*\w", re.I)),
-    ("ip", re.compile(r"[0-9a-f]{0,4}(?:[.:][0-9a-f]{0,4}){3,7}", re.I)),
     ("card", re.compile(r"[0-9]{4}(?:[./_-]?[0-9]{4}){2}(?:[./_-]?[0-9]{1,7})")),
+    ("ip", re.compile(r"[0-9a-f]{0,4}(?:[.:][0-9a-f]{0,4}){3,7}", re.I)),
     ("phone", re.compile(r"\(?0?[0-9]{2,5}\)?(?:[./-]?[0-9]{2,5}){1,4}")),
 )
 # Shapes of digit groups that blanks, brackets, dots and dashes join.
@@ -89,16 +89,18 @@ _SPREAD = (
     ("phone", re.compile(rf"\+?\(?[0-9]{{1,5}}\)?(?:{_GAP}\(?[0-9]{{2,5}}\)?){{1,6}}")),
 )
 _GROUPS = re.compile(r"\+?\(?[0-9][0-9()./_-]*|[./-]", re.A)
-_BEFORE = re.compile(r"[^\x20\x09-\x0D]+")
-# A word that goes on in the identifier itself, as `tel:` in `tel:555-0100`, is cut to its end.
-CONTEXT_CHARS = 96
+# A word ends at white space and behind `:`, `=` and `#`, so that `tel:` announces what is glued to it;
+# groups of hexadecimal digits between colons stay together.
+_WORD = re.compile(r"(?:[0-9a-f]{0,4}:){2,}+[0-9a-f:.]*+|[^\x20\x09-\x0D:=#]*+[:=#]++|[^\x20\x09-\x0D:=#]++", re.I)
+# Longer words stand for themselves by a digest in patterns.
+LONG_WORD = 96
 # A round of learning that moves no score by more than this is the last.
 STILL = 1e-6
 
 
 def words_of(text: str) -> tuple[list[int], list[int]]:
     """Starts and ends of the words of a text."""
-    bounds = [m.span() for m in _BEFORE.finditer(text)]
+    bounds = [m.span() for m in _WORD.finditer(text)]
     return [a for a, _ in bounds], [b for _, b in bounds]
 
 
@@ -194,17 +196,19 @@ def candidate_spans(text: str, base: list[Span], words: tuple[list[int], list[in
 
 
 def normal_word(word: str) -> str:
-    return _DIGIT.sub("0", word.lower())
+    word = _DIGIT.sub("0", word.lower())
+    return word if len(word) <= LONG_WORD else hashlib.md5(word.encode("utf-8", "replace")).hexdigest()
+
+
+def normal_words(text: str) -> list[str]:
+    return [normal_word(word) for word in _WORD.findall(text)]
 
 
 def patterns_before(text: str, start: int, words: tuple[list[int], list[int]] | None = None) -> tuple[str, ...]:
-    """Lexical patterns: the two whole words before a place, and the one; their score judges both."""
+    """Lexical patterns of a place: the two whole words before the word it is in, and the one; their score judges both."""
     starts, ends = words or words_of(text)
-    k = bisect_left(starts, start)
-    near = []
-    for j in range(max(0, k - 2), k):
-        glued = ends[j] > start
-        near.append(normal_word(text[max(starts[j], start - CONTEXT_CHARS) if glued else starts[j] : min(ends[j], start)]))
+    k = bisect_right(starts, start) - 1
+    near = [normal_word(text[starts[j] : ends[j]]) for j in range(max(0, k - 2), k)]
     pair = (" ".join(near),) if len(near) == 2 else ()
     return pair + tuple(near[-1:])
 
@@ -262,7 +266,7 @@ def pattern_totals(docs: DataFrame, patterns: DataFrame) -> DataFrame:
             held: Counter = Counter()
             for batch in batches:
                 for scalar in batch.column(0):
-                    words = _BEFORE.findall(_DIGIT.sub("0", (scalar.as_py() or "").lower()))
+                    words = normal_words(scalar.as_py() or "")
                     for i, word in enumerate(words):
                         if word in lasts:
                             if word in whole:

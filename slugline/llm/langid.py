@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,13 +15,12 @@ ORDERS = (2, 3, 4)
 DIMENSIONS = 16
 BYTES_AT_ONCE = 1 << 20
 MAX_LANGUAGES = 1000
+# Rows of all languages together that training takes to the driver, a profile of at most 256 kB each.
+SAMPLE_ROWS = 8192
 UNKNOWN = "und"
-
-_LETTER = re.compile(r"[^\W\d_]")
-
-
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether a text has an alphabetic character; digits of any script, fractions and signs are none."""
+    return any(map(str.isalpha, text or ""))
 
 
 def with_letters(docs: DataFrame) -> DataFrame:
@@ -97,14 +95,15 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 def training_sample(docs: DataFrame, per_language: int) -> list:
     """About `per_language` labelled rows of each language, chosen by hash, as sparse profiles.
 
-    The only bounded part of the operator: at most `MAX_LANGUAGES` labels, and profiles have a
-    fixed size, so the driver's share depends on neither the table nor the length of a text.
+    The only bounded part of the operator: at most `MAX_LANGUAGES` labels and about `SAMPLE_ROWS`
+    rows in all, of profiles of bounded size, so the driver's share depends on neither the table nor the length of a text.
     """
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     steps = 1 << 40
+    per_language = min(per_language, SAMPLE_ROWS // max(1, len(counts)))
     shares = {row["lang"]: min(steps, int(steps * per_language / row["count"]) + 1) for row in counts}
     if not shares:
         return []

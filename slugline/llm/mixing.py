@@ -15,6 +15,9 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SLOTS_PER_CHUNK = 1 << 16
 DOCS_PER_SHARD = 8192
 MAX_SOURCES = 100_000
+# A source has at least so many blocks, of fewer words than others' if it is small.
+LEAST_BLOCKS = 256
+COPIES_AT_ONCE = 64
 
 
 def token_count(text: Column) -> Column:
@@ -55,7 +58,7 @@ def mix(
 
     Sources by code point, null last, take `weights` in turn; targets are those of `water_fill`.
     Each source's documents are put in the order of a hash and cut into blocks of `block_tokens`
-    words. Slot k of the mix looks up the golden-ratio point of k in the cumulative shares; the
+    words, or fewer where that would be less than `LEAST_BLOCKS` blocks. Slot k of the mix looks up the golden-ratio point of k in the cumulative shares; the
     r-th slot of a source takes its block r modulo its number of blocks, never one more often
     than `epochs` times. `taken` has doc_id, source, size, source_size, target, taken and row_hash.
 
@@ -79,10 +82,17 @@ def mix(
     targets = water_fill(sizes, np.array([weights[k % len(weights)] for k in range(len(found))], float), share, epochs)
     plan = spark.createDataFrame(
         [
-            (k, row["source"], row["source_size"], float(targets[k]), -(-row["n_docs"] // DOCS_PER_SHARD))
+            (
+                k,
+                row["source"],
+                row["source_size"],
+                float(targets[k]),
+                -(-row["n_docs"] // DOCS_PER_SHARD),
+                max(1, min(block_tokens, row["source_size"] // LEAST_BLOCKS)),
+            )
             for k, row in enumerate(found)
         ],
-        "source_no int, source string, source_size long, target double, n_shards long",
+        "source_no int, source string, source_size long, target double, n_shards long, block_words long",
     )
     # One row per source, at most MAX_SOURCES.
     known = sized.join(F.broadcast(plan), sized["source"].eqNullSafe(plan["source"])).drop(plan["source"])
@@ -96,8 +106,8 @@ def mix(
         ),
         "streams",
     )
-    shards = placed.groupBy("source_no", "shard").agg(F.max("stop").alias("tokens"))
-    blocks = shards.withColumn("n_blocks", F.ceil(F.col("tokens") / block_tokens))
+    shards = placed.groupBy("source_no", "shard", "block_words").agg(F.max("stop").alias("tokens"))
+    blocks = shards.withColumn("n_blocks", F.ceil(F.col("tokens") / F.col("block_words")))
     before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = written(blocks.withColumn("first_block", F.coalesce(F.sum("n_blocks").over(before), F.lit(0))), "shards")
     per_source = {
@@ -119,14 +129,15 @@ def mix(
             "stop - size AS begin",
             "stop",
             "first_block",
-            f"explode(sequence((stop - size) div {block_tokens}, (stop - 1) div {block_tokens})) AS local",
+            "block_words",
+            "explode(sequence((stop - size) div block_words, (stop - 1) div block_words)) AS local",
         )
         .selectExpr(
             "source_no",
             "shard",
             "row_no",
             "first_block + local AS block",
-            f"least(stop, (local + 1) * {block_tokens}) - greatest(begin, local * {block_tokens}) AS words",
+            "least(stop, (local + 1) * block_words) - greatest(begin, local * block_words) AS words",
         )
     )
     times = schedule.groupBy("source_no", "block").agg(F.count("*").alias("times"))
@@ -184,6 +195,14 @@ def repeated(docs: DataFrame, mixture: Mixture, seed: int = 0) -> DataFrame:
         .groupBy("key")
         .agg(F.sum("times").alias("times"), F.count("*").alias("rows"))
     )
-    # Repeated rows share their copies: each gets the quotient, and the remainder goes to none.
-    each = times.selectExpr("key", "CAST(times div rows AS INT) AS each").where("each > 0")
-    return rows.join(each, "key").selectExpr("row", "explode(array_repeat(0, each)) AS copy").select("row.*")
+    drawn = written(times, "times")
+    once = rows.join(drawn.where("rows = 1 AND times > 0").select("key", F.col("times").cast("int").alias("each")), "key")
+    # Equal rows are one row that appears as often as all their draws together; the runs of its copies are dealt anew.
+    same = rows.join(drawn.where("rows > 1 AND times > 0"), "key").groupBy("key").agg(
+        F.any_value("row").alias("row"), F.any_value("times").alias("times")
+    )
+    run = F.explode(F.expr(f"sequence(0L, times - 1, {COPIES_AT_ONCE}L)"))
+    runs = same.withColumn("start", run).repartition("key", "start")
+    each = F.least(F.lit(COPIES_AT_ONCE), F.col("times") - F.col("start")).cast("int")
+    both = once.select("row", "each").unionAll(runs.select("row", each.alias("each")))
+    return both.selectExpr("row", "explode(array_repeat(0, each)) AS copy").select("row.*")

@@ -129,3 +129,76 @@ def test_learning_goes_on_until_nothing_changes(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     taken = {r.pattern: r.score for r in P.learn_patterns(docs, least_score=0.2, smoothing=0.0).collect()}
     assert {f"ctx{c}" for c in "abcdefgh"} <= set(taken)
+
+
+def test_identifiers_glued_to_a_word_that_announces_them(spark):
+    source = random.Random(3)
+    filler = lambda: " ".join(source.choices(["alpha", "beta", "gamma", "delta"], k=9))
+    card = lambda k: f"411111111111{k:03d}" + next(c for c in "0123456789" if P.passes_luhn(f"411111111111{k:03d}{c}"))
+    rows = [(k, f"{filler()} tel:+1415555{1000 + k} {filler()} id={card(k)} {filler()} mailto:u{k}@corp.com and phone=+4420794{6000 + k}") for k in range(12)]
+    hidden = {
+        100: ("tel:", "0555-1234567", "phone"), 101: ("phone=", "0171-2345678", "phone"), 102: ("id=", "4111.1111.1111.1234", "card"),
+        103: ("mailto:", "jane[at]corp.com", "email"), 104: ("tel: ", "(555) 123-4567", "phone"),
+    }
+    rows += [(k, f"{filler()} {before}{value} {filler()}") for k, (before, value, _) in hidden.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.more for r in P.find_personal_data(docs).collect()}
+    for k, (_, value, kind) in hidden.items():
+        start = dict(rows)[k].index(value)
+        assert found[k] == f"{kind}:{start}:{start + len(value)}"
+
+
+def plain_patterns(texts, least_values=3, least_score=0.5, smoothing=1.0):
+    """Learning with plain dictionaries over all occurrences."""
+    edges, seeds, totals = {}, set(), {}
+    for text in texts:
+        base = P.base_spans(text)
+        for spans, seed in ((base, True), (P.candidate_spans(text, base), False)):
+            for kind, a, b in spans:
+                for pattern in P.patterns_before(text, a):
+                    key = kind, text[a:b].lower(), pattern
+                    edges[key] = edges.get(key, 0) + 1
+                    if seed:
+                        seeds.add(key)
+        words = P.normal_words(text)
+        for k, word in enumerate(words):
+            for pattern in {word, *([f"{words[k - 1]} {word}"] if k else [])}:
+                totals[pattern] = totals.get(pattern, 0) + 1
+    supported = {}
+    for kind, value, pattern in edges:
+        supported.setdefault((kind, pattern), set()).add(value)
+    belief = {(kind, value): 1.0 for kind, value, _ in seeds}
+    taken = {}
+    while True:
+        judged = {}
+        for (kind, pattern), values in supported.items():
+            if len(values) >= least_values:
+                score = sum(edges[kind, v, pattern] * belief.get((kind, v), 0) for v in values) / (totals[pattern] + smoothing)
+                sure = sum(belief.get((kind, v), 0) >= least_score for v in values)
+                if score >= least_score and sure >= least_values:
+                    judged[kind, pattern] = min(score, 1.0)
+        if not any(score - taken.get(key, -1) > P.STILL for key, score in judged.items()):
+            return judged
+        taken = judged
+        found = {}
+        for kind, value, pattern in edges:
+            if (kind, pattern) in taken and (kind, value, pattern) not in seeds and len(supported[kind, pattern]) >= least_values:
+                found.setdefault((kind, value), []).append(max(1 - taken[kind, pattern], 1e-9))
+        belief = {(kind, value): 1.0 for kind, value, _ in seeds}
+        for key, doubts in found.items():
+            doubt = 1.0
+            for d in doubts:
+                doubt *= d
+            belief[key] = max(belief.get(key, 0), 1 - doubt)
+
+
+def test_patterns_against_a_plain_learner(spark):
+    source = random.Random(12)
+    texts = [text for _, text in planted()]
+    texts += [f"tel:+1415555{1000 + k} x" for k in range(6)] + [f"tel:word{chr(97 + k % 26)}{k} y" for k in range(30)]
+    texts += [f"ring {source.choice(['home', 'work'])}: {source.choice(['+1 555 010 ', '0555-'])}{1000 + k}{source.choice(['', '-1234'])}" for k in range(80)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.kind, r.pattern): r.score for r in P.learn_patterns(docs).collect()}
+    want = plain_patterns(texts)
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert ("phone", "tel:") not in got and ("phone", "call me:") in got
