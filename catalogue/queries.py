@@ -63,7 +63,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.content_events(spark, sf_dir).drop("event_id")
 
 
-def _event_table(spark: SparkSession, sf_dir: str) -> str:
+def event_table(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "events", lambda root: S.write_events(_events(spark, sf_dir), root))
 
 
@@ -89,13 +89,13 @@ LANDED_SCHEMA = T.StructType(
 )
 
 
-def _landed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed_webhooks(spark, sf_dir)
     return W.raw_webhooks(spark, path, schema=LANDED_SCHEMA, signature_header=SIGNATURE_HEADER)
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
-    raw = _landed_batch(spark, sf_dir)
+    raw = landed_batch(spark, sf_dir)
     return _once(spark, sf_dir, "ingested", lambda root: ingest_batch(raw, sample.SECRET, root))
 
 
@@ -103,21 +103,21 @@ def _ingested(spark: SparkSession, sf_dir: str) -> str:
 
 
 def scan_events(spark, sf_dir):
-    table = E.scan_events(spark, _event_table(spark, sf_dir))
+    table = E.scan_events(spark, event_table(spark, sf_dir))
     return table.groupBy(*PARTITION_COLUMNS, "event_kind").agg(F.count("*").alias("event_count"))
 
 
 def scan_events_of_days(spark, sf_dir):
-    table = E.scan_events(spark, _event_table(spark, sf_dir), MAIN)
+    table = E.scan_events(spark, event_table(spark, sf_dir), MAIN)
     return table.groupBy("dt", "api").agg(F.count("*").alias("event_count"))
 
 
 def parquet_roundtrip(spark, sf_dir):
-    return E.scan_events(spark, _event_table(spark, sf_dir))
+    return E.scan_events(spark, event_table(spark, sf_dir))
 
 
 def partition_layout(spark, sf_dir):
-    files = N.file_inventory(spark, _event_table(spark, sf_dir))
+    files = N.file_inventory(spark, event_table(spark, sf_dir))
     folder = F.regexp_extract("file_path", r"/(service=[^/]+/api=[^/]+/dt=[^/]+)/[^/]+\.parquet$", 1)
     return files.groupBy(folder.alias("partition_path")).agg(F.sum("event_count").alias("event_count"))
 
@@ -141,7 +141,7 @@ def partition_inventory(spark, sf_dir):
     """What the table holds, and that each partition has a file: more than one only where it is large."""
     enough = (F.col("file_count") >= F.col("partition_count")).alias("has_files")
     kept = ["event_count", "partition_count", "first_day", "last_day"]
-    return N.table_summary(spark, _event_table(spark, sf_dir)).select(*kept, enough)
+    return N.table_summary(spark, event_table(spark, sf_dir)).select(*kept, enough)
 
 
 def union_by_name_scan(spark, sf_dir):
@@ -175,14 +175,17 @@ def union_by_name_scan(spark, sf_dir):
         for_path = named.where(F.col("service") == service)
         folder = f"{root}/named/service={service}/api=unknown"
         for_path.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(folder)
-    return E.union_by_name_scan(spark, f"{root}/dated").unionByName(E.union_by_name_scan(spark, f"{root}/named"))
+    stored = scratch_path(spark, "drift")
+    E.drifted_columns(spark, f"{root}/dated", stored)
+    dated = E.union_by_name_scan(spark, f"{root}/dated", stored=stored)
+    return dated.unionByName(E.union_by_name_scan(spark, f"{root}/named"))
 
 
 # --- ingest -------------------------------------------------------------------------------------
 
 
 def raw_webhooks(spark, sf_dir):
-    return _landed_batch(spark, sf_dir).select(
+    return landed_batch(spark, sf_dir).select(
         "received_at",
         "signature",
         F.sha2("body", 256).alias("body_sha256"),
@@ -191,17 +194,17 @@ def raw_webhooks(spark, sf_dir):
 
 
 def verify_signature(spark, sf_dir):
-    checked = I.verify_signature(_landed_batch(spark, sf_dir), sample.SECRET)
+    checked = I.verify_signature(landed_batch(spark, sf_dir), sample.SECRET)
     return checked.select("event_id", "signature_ok")
 
 
 def reject_classification(spark, sf_dir):
-    deliveries = I.classify_deliveries(_landed_batch(spark, sf_dir), sample.SECRET)
+    deliveries = I.classify_deliveries(landed_batch(spark, sf_dir), sample.SECRET)
     return deliveries.select("event_id", "reject_reason", "reject_class")
 
 
 def normalize_events(spark, sf_dir):
-    return I.normalize_events(_landed_batch(spark, sf_dir), sample.SECRET)
+    return I.normalize_events(landed_batch(spark, sf_dir), sample.SECRET)
 
 
 def ingest_events(spark, sf_dir):
@@ -249,7 +252,7 @@ def deduplicated_stream(spark, sf_dir):
 def idempotent_ingest(spark, sf_dir):
     """The even deliveries, then all of them, then all of them twice over."""
     root = scratch_path(spark, "once")
-    raw = _landed_batch(spark, sf_dir)
+    raw = landed_batch(spark, sf_dir)
     for batch in (raw.where("event_id % 2 = 0"), raw, raw.union(raw)):
         ingest_new(batch, sample.SECRET, root)
     events = E.scan_events(spark, S.events_root(root)).select("dt", F.lit("events").alias("stored_as"))
@@ -288,7 +291,7 @@ def backfilled_days(spark, sf_dir):
 
 
 def expired_partitions(spark, sf_dir):
-    expired = K.expired_partitions(spark, _event_table(spark, sf_dir), MAIN.first_day)
+    expired = K.expired_partitions(spark, event_table(spark, sf_dir), MAIN.first_day)
     return expired.select(*PARTITION_COLUMNS, (F.col("bytes") > 0).alias("has_bytes"))
 
 
@@ -418,7 +421,7 @@ def _panel(name: str) -> Query:
     """A count panel out of the shared cube, which is counted from the stored table."""
 
     def panel(spark, sf_dir):
-        table = E.scan_events(spark, _event_table(spark, sf_dir))
+        table = E.scan_events(spark, event_table(spark, sf_dir))
         return dashboard.count_panels(dashboard.activity_cube(table, MAIN), MAIN)[name]
 
     return panel

@@ -38,8 +38,13 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path of its own, never used before, in the folder all executors share.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; a session without that
-    setting uses its warehouse folder, which executors reach as well.
+    The folder is the one the cluster names in `spark.checkpoint.dir`. A session without that
+    setting uses its warehouse folder; where executors are on other machines and that is a local path, it raises.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        local_path = base.startswith(("file:", "/")) or ":" not in base
+        if local_path and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/slugline-{uuid.uuid4().hex}/{name}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from datetime import timedelta
 from urllib.parse import quote
 
@@ -13,11 +13,12 @@ from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from slugline.functions.partitions import restored_value
 from slugline.plans.params import TimeRange
 from slugline.schema import EVENT_COLUMNS, EVENT_FIELDS, EVENT_SCHEMA, QUARANTINE_SCHEMA
+from slugline.sources.files import exists, listed_files
 
 
 def with_path_values(scanned: DataFrame, *more: str) -> DataFrame:
@@ -57,26 +58,22 @@ def scan_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(root).select(*QUARANTINE_SCHEMA.names)
 
 
-def drifted_columns(spark: SparkSession, root: str) -> DataFrame:
-    """(path, drift) per file: its event columns stored under a type the event table cannot read.
+def stored_types(path: str) -> dict[str, str]:
+    """Name and type of each column in a Parquet file's footer, through the file systems Arrow knows."""
+    scheme, separator, rest = path.partition(":")
+    local = not separator or scheme == "file"
+    location = (rest or path) if local else f"{'s3' if scheme == 's3a' else scheme}:{quote(rest)}"
+    filesystem, name = fs.FileSystem.from_uri(location)
+    stored = from_arrow_schema(pq.read_schema(name, filesystem=filesystem))
+    return {field.name: field.dataType.simpleString() for field in stored}
 
-    `drift` is a DDL fragment, empty for a conforming file. Paths come from a listing whose
-    content column is never touched, and footers are read by the tasks, not by the driver, through
-    the file systems Arrow knows. The task's function refers to nothing of this package, so the
-    workers need not have it installed.
-    """
-    expected = {field.name: field.dataType.simpleString() for field in EVENT_FIELDS}
 
-    def arrow_location(path: str) -> str:
-        scheme, separator, rest = path.partition(":")
-        if not separator or scheme == "file":
-            return rest or path
-        return f"{'s3' if scheme == 's3a' else scheme}:{quote(rest)}"
+def _footers(files: DataFrame, read_types: Callable[[str], dict[str, str]]) -> DataFrame:
+    """`files` (path, ..) with `drift`, out of the footers that their tasks read."""
+    expected = {field.name: field.dataType.simpleString() for field in EVENT_FIELDS}
 
     def drift_of(path: str) -> str:
-        filesystem, name = fs.FileSystem.from_uri(arrow_location(path))
-        stored = from_arrow_schema(pq.read_schema(name, filesystem=filesystem))
-        types = {field.name: field.dataType.simpleString() for field in stored}
+        types = read_types(path)
         # A value that the path gives counts, whatever the file says of it.
         inside = [column for column in expected if f"/{column}=" not in path]
         return ", ".join(
@@ -89,14 +86,37 @@ def drifted_columns(spark: SparkSession, root: str) -> DataFrame:
         for batch in batches:
             yield batch.assign(drift=[drift_of(path) for path in batch["path"]])
 
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-        .select("path")
-    )
-    return files.mapInPandas(footers, "path string, drift string")
+    return files.mapInPandas(footers, StructType([*files.schema.fields, StructField("drift", StringType())]))
+
+
+def drifted_columns(
+    spark: SparkSession,
+    root: str,
+    stored: str | None = None,
+    read_types: Callable[[str], dict[str, str]] = stored_types,
+) -> DataFrame:
+    """(path, drift) per file: its event columns stored under a type the event table cannot read.
+
+    `drift` is a DDL fragment, empty for a conforming file. Paths come from a listing whose
+    content column is never touched, and footers are read by the tasks, not by the driver. `read_types`
+    says how, for file systems that Arrow does not know; it must be importable on the workers.
+
+    `stored` names a table, made on first use, that keeps what footers said, by path, size and time of
+    change: each call then reads the footers of new and changed files only and adds them.
+    """
+    files = listed_files(spark, root)
+    if stored is None:
+        return _footers(files.select("path"), read_types)
+    key = ["path", "bytes", "modified"]
+    known = spark.createDataFrame([], StructType([*files.schema.fields, StructField("drift", StringType())]))
+    if exists(spark, stored):
+        known = spark.read.schema(known.schema).parquet(stored)
+    fresh = files.join(known, key, "left_anti").select(*key)
+    if not fresh.isEmpty():
+        _footers(fresh, read_types).write.mode("append").parquet(stored)
+        known = spark.read.schema(known.schema).parquet(stored)
+    # A file that two calls have added at once is there twice.
+    return known.join(files, key, "left_semi").select("path", "drift").distinct()
 
 
 def uniform_paths(files: DataFrame, root: str) -> dict[str, list[str]]:
@@ -130,14 +150,17 @@ def uniform_paths(files: DataFrame, root: str) -> dict[str, list[str]]:
     return cover
 
 
-def union_by_name_scan(spark: SparkSession, root: str, cover: dict[str, list[str]] | None = None) -> DataFrame:
+def union_by_name_scan(
+    spark: SparkSession, root: str, cover: dict[str, list[str]] | None = None, stored: str | None = None
+) -> DataFrame:
     """The event table where writers disagreed on types, such as all-NULL columns stored as INT.
 
     Files are grouped by how they drift; each group is read under its own types, cast, and united
-    by name. `cover`, as `uniform_paths` returns it, spares reading the footers at each call.
+    by name. `cover`, as `uniform_paths` returns it, spares looking at all; `stored`, the table of
+    `drifted_columns`, spares reading the footer of a file more than once.
     """
     parts = []
-    for drift, paths in sorted((cover or uniform_paths(drifted_columns(spark, root), root)).items()):
+    for drift, paths in sorted((cover or uniform_paths(drifted_columns(spark, root, stored), root)).items()):
         stored = {field.name: field for field in StructType.fromDDL(drift)} if drift else {}
         schema = StructType([stored.get(field.name, field) for field in EVENT_SCHEMA])
         part = spark.read.schema(schema).option("basePath", root).parquet(*paths)

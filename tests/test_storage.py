@@ -1,5 +1,6 @@
 """The event table on disk: layout, completeness, drift, inventory, and streams into it."""
 
+import os
 from datetime import datetime
 from pathlib import Path
 
@@ -151,6 +152,28 @@ def test_files_that_lack_columns_or_store_nulls_as_ints(spark, tmp_path):
     assert E.union_by_name_scan(spark, root).schema == E.scan_events(spark, root).schema
 
 
+def test_stored_footers_are_read_once(spark, tmp_path):
+    root, stored = str(tmp_path / "events"), str(tmp_path / "drift")
+    table = events(spark, {"service": "s", "api": "blogs", "dt": day("06-30"), "content_id": "A"})
+    S.write_events(table, root)
+    assert E.drifted_columns(spark, root, stored).collect()[0].drift == ""
+    # The first file is spoilt without its size or time showing it: only its stored footer can be used.
+    (first,) = Path(root).rglob("*.parquet")
+    was = first.stat()
+    first.write_bytes(b"x" * was.st_size)
+    os.utime(first, ns=(was.st_atime_ns, was.st_mtime_ns))
+    drifting = events(spark, {"service": "s", "api": "authors", "dt": day("06-30")}).withColumn("content_id", F.lit(None).cast("int"))
+    drifting.write.mode("append").partitionBy("service", "api", "dt").parquet(root)
+    for _ in range(2):
+        cover = E.uniform_paths(E.drifted_columns(spark, root, stored), root)
+        assert cover == {"": [f"{root}/service=s/api=blogs"], "`content_id` int": [f"{root}/service=s/api=authors"]}
+    # Changed and removed files are noticed.
+    first.unlink()
+    S.write_events(table, root)
+    assert sorted(r.api for r in E.union_by_name_scan(spark, root, stored=stored).collect()) == ["authors", "blogs"]
+    assert E.drifted_columns(spark, root, stored).count() == 2 and spark.read.parquet(stored).count() == 3
+
+
 def bodies():
     texts = [payload("edit", "DRAFT", "PUBLISH", api="a b"), payload("new", None, "DRAFT", api="a b"), "{", "{}"]
     landed = [signed(text) for text in texts]
