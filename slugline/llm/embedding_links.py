@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from slugline.llm.common import spanning_forest, written
 from slugline.llm.components import connected_components
 
-TABLES = 20
-BITS = 10
+LEAST_BITS = 10
+# Buckets hold about so many of unrelated classes; what of the links at the threshold may be missed.
+BUCKET_ROWS = 64
+MISSED = 0.0015
 BLOCK_ROWS = 512
 GROUP = ["label_key", "dims", "tbl", "sig", "left_block", "right_block"]
 
@@ -28,31 +30,39 @@ def vectors_of(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def signatures(vectors: np.ndarray, seed: int) -> np.ndarray:
-    """One number of BITS bits per table: on which side of each random plane a vector lies."""
-    planes = np.random.default_rng((seed, vectors.shape[1])).normal(size=(TABLES * BITS, vectors.shape[1]))
-    sides = (vectors @ planes.T >= 0).reshape(len(vectors), TABLES, BITS)
-    return (sides << np.arange(BITS)).sum(axis=2).astype(np.int16)
+def hash_shape(n: int, least: float) -> tuple[int, int]:
+    """(tables, bits) for n classes: bits grow with log2(n), so buckets of unrelated classes stay small, and
+    tables with them, so that a pair at the threshold agrees in one with a probability of 1 - MISSED."""
+    bits = min(30, max(LEAST_BITS, (n // BUCKET_ROWS).bit_length()))
+    agree = (1 - np.arccos(min(1.0, max(-1.0, least))) / np.pi) ** bits
+    return (1 if agree >= 1 else int(np.ceil(np.log(MISSED) / np.log1p(-agree)))), bits
 
 
-def _signed(classes: DataFrame, seed: int) -> DataFrame:
+def signatures(vectors: np.ndarray, seed: int, tables: int, bits: int) -> np.ndarray:
+    """One number of `bits` bits per table: on which side of each random plane a vector lies."""
+    planes = np.random.default_rng((seed, vectors.shape[1])).normal(size=(tables * bits, vectors.shape[1]))
+    sides = (vectors @ planes.T >= 0).reshape(len(vectors), tables, bits)
+    return (sides << np.arange(bits)).sum(axis=2).astype(np.int32)
+
+
+def _signed(classes: DataFrame, seed: int, tables: int, bits: int) -> DataFrame:
     """`classes` with the signature of every table, in one array."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("embedding"))
             lengths = column.value_lengths().to_numpy()
-            sigs = np.zeros((len(column), TABLES), np.int16)
+            sigs = np.zeros((len(column), tables), np.int32)
             for length in np.unique(lengths):
                 at = np.flatnonzero(lengths == length)
-                sigs[at] = signatures(vectors_of(column.take(pa.array(at))), seed)
+                sigs[at] = signatures(vectors_of(column.take(pa.array(at))), seed, tables, bits)
             lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, sigs.size + 1, TABLES), pa.int32()), pa.array(sigs.ravel())
+                pa.array(np.arange(0, sigs.size + 1, tables), pa.int32()), pa.array(sigs.ravel())
             )
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "sigs"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)
-    return classes.mapInArrow(per_batch, f"{fields}, sigs array<smallint>")
+    return classes.mapInArrow(per_batch, f"{fields}, sigs array<int>")
 
 
 def link_block(vectors: np.ndarray, sigs: np.ndarray, sides: np.ndarray, tbl: int, least: float):
@@ -134,9 +144,9 @@ def _found(signed: DataFrame, least: float) -> DataFrame:
 def embedding_links(vectors: DataFrame, least: float = 0.93, seed: int = 11) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of `vectors` (vec_id, embedding, label).
 
-    Vectors of one label whose cosine is at least `least` are linked when one of `TABLES` sign
-    hashes of `BITS` bits agrees; cosines are computed in double precision, so nothing below is
-    linked. At 0.93 a pair is found with a probability of 0.9985, above it with a higher one.
+    Vectors of one label whose cosine is at least `least` are linked when one of several sign
+    hashes agrees, whose number and bits `hash_shape` takes from the number of classes; cosines are computed in double
+    precision, so nothing below is linked. At the threshold a pair is found with a probability of 0.9985, above it with a higher one.
     Components are named by their smallest vec_id; n_links counts the other vectors linked.
 
     Equal vectors of a label are one class with a multiplicity, so copies are never paired. A
@@ -160,7 +170,8 @@ def embedding_links(vectors: DataFrame, least: float = 0.93, seed: int = 11) ->
     classes = members.where("class IS NOT NULL").groupBy("class").agg(
         F.count("*").alias("n"), F.min("vec_id").alias("first_id"), F.first("of").alias("of")
     )
-    signed = written(_signed(classes.select("class", "n", "first_id", "of.label", "of.embedding"), seed), "signatures")
+    distinct = written(classes.select("class", "n", "first_id", "of.label", "of.embedding"), "vector_classes")
+    signed = written(_signed(distinct, seed, *hash_shape(distinct.count(), least)), "signatures")
     found = written(_found(signed, least), "found")
     labels = connected_components(found.where("b IS NOT NULL").select("a", "b"))
     degrees = found.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n_other"))

@@ -50,7 +50,10 @@ def test_against_brute_force(spark, monkeypatch, block_rows):
     assert sum(f == w for f, w in zip(found, want, strict=True)) >= 0.9 * len(want)
 
 
-def test_recall_at_the_threshold():
+@pytest.mark.parametrize("n", [1, 10**5, 10**7, 10**9])
+def test_recall_at_the_threshold(n):
+    tables, bits = E.hash_shape(n, 0.93)
+    assert (tables, bits) == (20, 10) if n == 1 else bits >= np.log2(n / E.BUCKET_ROWS) - 1
     rng = np.random.default_rng(5)
     a = rng.normal(size=(3000, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
@@ -58,8 +61,11 @@ def test_recall_at_the_threshold():
     off -= (off * a).sum(axis=1, keepdims=True) * a
     off /= np.linalg.norm(off, axis=1, keepdims=True)
     b = 0.93 * a + np.sqrt(1 - 0.93**2) * off
-    same = (E.signatures(a, 11) == E.signatures(b, 11)).any(axis=1)
+    same = (E.signatures(a, 11, tables, bits) == E.signatures(b, 11, tables, bits)).any(axis=1)
     assert same.mean() > 0.99
+    # Unrelated vectors rarely meet: as often as buckets of about BUCKET_ROWS of n say.
+    unrelated = (E.signatures(a, 11, tables, bits) == E.signatures(off[::-1], 11, tables, bits)).mean()
+    assert unrelated <= 4 * max(1 / 2**E.LEAST_BITS, E.BUCKET_ROWS / n)
 
 
 def test_ids_repeat_or_lack(spark):
