@@ -275,8 +275,15 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFra
         full = np.where((best.scores > np.iinfo(np.int64).min).all(axis=1), best.scores[:, -1], np.iinfo(np.int64).min)
         return pd.DataFrame({"query_id": queries["query_id"], "floor": full})
 
+    # A cell may draw many queries: they are dealt into blocks, each of which meets the tree.
     keys = ["dims", "cell", "tree"]
-    floors = placed.groupBy(*keys).cogroup(pages.groupBy(*keys)).applyInPandas(at_home, "query_id long, floor long")
+    blocks = F.ceil(F.count("*") / QUERIES_IN_GROUP).cast("int")
+    homes = written(placed.groupBy(*keys).agg(blocks.alias("blocks")), "homes")
+    mine = F.pmod(F.xxhash64("query_id", F.lit("block")), "blocks").cast("int")
+    waiting = placed.join(homes, keys).select(*keys, mine.alias("block"), "query_id", "v").groupBy(*keys, "block")
+    each = homes.select(*keys, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    met = pages.join(each, keys).groupBy(*keys, "block")
+    floors = waiting.cogroup(met).applyInPandas(at_home, "query_id long, floor long")
     floored = written(placed.select("query_id", "v", "dims").join(floors, "query_id"), "floors")
 
     # Then blocks of queries against groups of trees.
