@@ -91,7 +91,7 @@ _SPREAD = (
 _GROUPS = re.compile(r"\+?\(?[0-9][0-9()./_-]*|[./-]", re.A)
 # A word ends at white space and behind `:`, `=` and `#`, so that `tel:` announces what is glued to it;
 # groups of hexadecimal digits between colons stay together.
-_WORD = re.compile(r"(?:[0-9a-f]{0,4}:){2,}+[0-9a-f:.]*+|[^\x20\x09-\x0D:=#]*+[:=#]++|[^\x20\x09-\x0D:=#]++", re.I)
+_WORD = re.compile(r"(?:[0-9a-f]{0,4}:){2,}+[0-9a-f:.]*+|[^\x20\x09-\x0D:=#]++[:=#]*+|[:=#]++", re.I)
 # Longer words stand for themselves by a digest in patterns.
 LONG_WORD = 96
 # A round of learning that moves no score by more than this is the last.
@@ -195,13 +195,17 @@ def candidate_spans(text: str, base: list[Span], words: tuple[list[int], list[in
     return found
 
 
-def normal_word(word: str) -> str:
-    word = _DIGIT.sub("0", word.lower())
+def _shortened(word: str) -> str:
     return word if len(word) <= LONG_WORD else hashlib.md5(word.encode("utf-8", "replace")).hexdigest()
 
 
+def normal_word(word: str) -> str:
+    """A word as patterns have it: case folded, which no neighbour of a letter influences, and digits alike."""
+    return _shortened(_DIGIT.sub("0", word.casefold()))
+
+
 def normal_words(text: str) -> list[str]:
-    return [normal_word(word) for word in _WORD.findall(text)]
+    return [_shortened(word) for word in _WORD.findall(_DIGIT.sub("0", text.casefold()))]
 
 
 def patterns_before(text: str, start: int, words: tuple[list[int], list[int]] | None = None) -> tuple[str, ...]:
