@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from slugline.llm.common import written
+from slugline.llm.common import slices, written
 
-CELLS = 64  # routing objects of the level above the trees, a fixed number
+CELLS = 64  # routing objects of the level above the trees, at least; their number grows with the rows
+MOST_CELLS = 4096
 TREE_ROWS = 4096
 LEAF_ROWS = 64
 FANOUT = 16
 TREES_IN_GROUP = 8
 QUERIES_IN_GROUP = 2048
+ROOT_BYTES = 64 << 20  # of root nodes that one broadcast may hold; beyond that queries meet them in parts
+ROWS_AT_ONCE = 256
 SLACK = 1e-6  # squared distances are whole numbers, so this covers rounding
 
 
@@ -119,6 +124,13 @@ class Best:
         self.full[rows] = np.maximum(self.full[rows], self.scores[rows][:, -1])
 
 
+def farthest(squares: np.ndarray, floor: np.ndarray, most: int) -> np.ndarray:
+    """How far from a query, of a squared length, a row may lie that has a score of `floor` or more."""
+    known = floor > np.iinfo(np.int64).min
+    beyond = squares + float(most) - 2.0 * np.where(known, floor, 0)
+    return np.where(known, np.sqrt(np.maximum(beyond, 0)), np.inf) + SLACK
+
+
 def search_tree(nodes: list[dict], queries: np.ndarray, own: np.ndarray, most: int, best: Best) -> int:
     """Best-first search of one tree for all queries; returns the number of distances computed.
 
@@ -139,9 +151,7 @@ def search_tree(nodes: list[dict], queries: np.ndarray, own: np.ndarray, most: i
     computed = len(queries)
 
     def limit(at: np.ndarray) -> np.ndarray:
-        known = best.full[at] > np.iinfo(np.int64).min
-        beyond = squares[at] + float(most) - 2.0 * np.where(known, best.full[at], 0)
-        return np.where(known, np.sqrt(np.maximum(beyond, 0)), np.inf) + SLACK
+        return farthest(squares[at], best.full[at], most)
 
     live = np.arange(len(queries))
     while len(live):
@@ -194,6 +204,54 @@ def _answers(queries: pd.DataFrame, best: Best) -> pd.DataFrame:
     return pd.DataFrame(told | {"score": best.scores[rows, places]})
 
 
+def reachable(queries: DataFrame, roots: DataFrame, longest: dict[int, int], root_bytes: int | None = None) -> DataFrame:
+    """(query_id, v, dims, floor, trees_no): the groups of trees where a row may reach a query's floor.
+
+    `roots` (dims, trees_no, center, radius) are the root nodes of all trees. Their covering radii
+    tell, before anything is shuffled, that no row of a tree is near enough. More of them than
+    `ROOT_BYTES` are split by hash into parts, and the queries go past one part after the other.
+    """
+    spark = queries.sparkSession
+    kept = roots.select("dims", "trees_no", "center", "radius")
+    size = kept.agg(F.sum(F.lit(8) * (F.col("dims") + 4))).head()[0] or 0
+    parts = max(1, -(-size // (ROOT_BYTES if root_bytes is None else root_bytes)))
+    fields = "query_id long, v array<long>, dims int, floor long"
+    found = None
+    for part in range(parts):
+        told = kept.where(F.pmod(F.xxhash64("trees_no"), F.lit(parts)) == part).orderBy("dims", "trees_no").toArrow()
+        balls = {}
+        for d in longest:
+            of = told.filter(pa.compute.equal(told["dims"], d)).combine_chunks()
+            if len(of):
+                centers = np.concatenate([c.values.to_numpy() for c in of["center"].chunks]).reshape(len(of), -1)
+                balls[d] = (of["trees_no"].to_numpy(), centers, of["radius"].to_numpy())
+        shared = spark.sparkContext.broadcast(balls)
+
+        def per_batch(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                dims, floor = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+                for d in np.unique(dims):
+                    if d not in shared.value:
+                        continue
+                    groups, centers, radii = shared.value[d]
+                    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+                    of_length = np.flatnonzero(dims == d)
+                    for part in slices(len(of_length), ROWS_AT_ONCE):
+                        at = of_length[part]
+                        vectors = batch.column(1).take(pa.array(at)).flatten().to_numpy().reshape(len(at), d)
+                        points = np.column_stack((vectors.astype(float), np.zeros(len(at))))
+                        limit = farthest((vectors * vectors).sum(axis=1), floor[at], longest[d])
+                        near = distances(points, centers) - radii <= limit[:, None]
+                        rows, places = np.nonzero(np.logical_or.reduceat(near, first, axis=1))
+                        columns = batch.take(pa.array(at[rows])).columns
+                        names = ["query_id", "v", "dims", "floor", "trees_no"]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(groups[first][places], pa.int64())], names)
+
+        met = queries.select("query_id", "v", "dims", "floor").mapInArrow(per_batch, f"{fields}, trees_no long")
+        found = met if found is None else found.unionAll(met)
+    return found
+
+
 ANSWER = "query_id long, vec_id long, score long"
 
 
@@ -206,11 +264,13 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFra
     Repeated query rows are answered once, repeated rows are candidates of their own. Inner
     products and squared lengths are exact below 2^53.
 
-    Index: rows go to the nearest of `CELLS` routing objects, a fixed sample; a cell is dealt by
-    hash into trees of about `TREE_ROWS` rows, whose nodes are pages of a written table. Search:
-    each query goes through one tree of its own cell first, which gives a k-th score to beat;
-    then blocks of queries meet groups of trees, each pair of them one task's group. Only rows
-    that beat the first score leave a task. All of the index is exact, so recall is 1.
+    Index: rows go to the nearest of `CELLS` routing objects, or more with the root of the number
+    of rows, up to `MOST_CELLS`; a cell is dealt by hash into trees of about `TREE_ROWS` rows, whose
+    nodes are pages of a written table. Search: each query goes through one tree of its own cell
+    first, which gives a k-th score to beat. The root nodes then tell which groups of trees may hold
+    such a score (`reachable`), and blocks of those queries meet the group, each pair of them
+    one task's group. Only rows that beat the first score leave a task. All of the index is exact, so
+    recall is 1. Other columns of both tables, whatever their names, are not read.
     """
     rows = written(vectors.where("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").select(
         "vec_id", "v", F.size("v").alias("dims"), F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x).alias("square")
@@ -222,9 +282,11 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFra
     longest = {r["dims"]: r["m"] for r in rows.groupBy("dims").agg(F.max("square").alias("m")).collect()}
     if not longest:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    sample = rows.orderBy(F.xxhash64("v"), "vec_id").limit(CELLS).select("v", "dims").collect()
+    n_cells = min(MOST_CELLS, max(CELLS, math.isqrt(rows.count() // 16)))
+    # Drawn by row, and copies once: a vector that many rows share is one routing object.
+    sample = rows.orderBy(F.xxhash64("v", "vec_id"), "vec_id").limit(n_cells).select("v", "dims").collect()
     routing = spark.sparkContext.broadcast(
-        {d: matrix([r["v"] for r in sample if r["dims"] == d]).reshape(-1, d) for d in longest}
+        {d: np.unique(matrix([r["v"] for r in sample if r["dims"] == d]).reshape(-1, d), axis=0) for d in longest}
     )
 
     def with_cell(df: DataFrame, key: str, lift: bool) -> DataFrame:
@@ -245,7 +307,9 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFra
 
     celled = written(with_cell(rows, "vec_id", True), "cells")
     counts = celled.groupBy("dims", "cell").agg(F.ceil(F.count("*") / TREE_ROWS).alias("trees"))
-    # At most CELLS rows for each length of vectors.
+    before = Window.partitionBy("dims").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    # At most MOST_CELLS rows for each length of vectors; `first` is the number of trees in earlier cells.
+    counts = written(counts.withColumn("first", F.coalesce(F.sum("trees").over(before), F.lit(0))), "counts")
     dealt = celled.join(F.broadcast(counts), ["dims", "cell"]).withColumn(
         "tree", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), "trees")
     )
@@ -286,19 +350,16 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFra
     floors = waiting.cogroup(met).applyInPandas(at_home, "query_id long, floor long")
     floored = written(placed.select("query_id", "v", "dims").join(floors, "query_id"), "floors")
 
-    # Then blocks of queries against groups of trees.
-    n_trees, n_queries = pages.where("parent < 0").count(), floored.count()
-    tree_groups, query_groups = max(1, -(-n_trees // TREES_IN_GROUP)), max(1, -(-n_queries // QUERIES_IN_GROUP))
-    left = floored.select(
-        "*",
-        F.pmod(F.xxhash64("query_id"), F.lit(query_groups)).cast("int").alias("queries_no"),
-        F.explode(F.sequence(F.lit(0), F.lit(tree_groups - 1))).alias("trees_no"),
-    )
-    right = pages.select(
-        "*",
-        F.pmod(F.xxhash64("cell", "tree"), F.lit(tree_groups)).cast("int").alias("trees_no"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_groups - 1))).alias("queries_no"),
+    # Then blocks of queries against the groups of trees that they may reach.
+    grouped = pages.join(F.broadcast(counts), ["dims", "cell"]).withColumn(
+        "trees_no", F.expr(f"(first + tree) div {TREES_IN_GROUP}")
     )
+    met = written(reachable(floored, grouped.where("parent < 0"), longest), "reachable")
+    meeting = written(met.groupBy("dims", "trees_no").agg(blocks.alias("blocks")), "meeting")
+    left = met.join(meeting, ["dims", "trees_no"]).withColumn("queries_no", mine)
+    right = grouped.join(meeting, ["dims", "trees_no"]).withColumn(
+        "queries_no", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).select(*PAGE, "trees_no", "queries_no")
 
     def everywhere(queries: pd.DataFrame, pages: pd.DataFrame) -> pd.DataFrame:
         best = Best.of(len(queries), k, queries["floor"].to_numpy(np.int64))

@@ -35,7 +35,10 @@ RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-# The block list of the query: a host is listed when one of its labels is one of these.
+# The block list of the query: hosts of which a page in so many or more holds a run of junk signs,
+# and those with one of these labels.
+JUNK_RUN = "[*%$#]{3}"
+JUNK_ONE_IN = 10
 LISTED_LABELS = ("ads-track", "free-bets", "cheap-pills")
 
 
@@ -70,12 +73,14 @@ def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id", url_cascade.url_host(F.col("url")).alias("host"), url_cascade.url_path(F.col("url")).alias("path")
-    )
-    keys = pages.select(F.col("host").alias("key")).distinct()
+    pages = table(spark, sf_dir, "pages")
+    host = url_cascade.url_host(F.col("url")).alias("host")
+    junk = F.count_if(F.col("html").rlike(JUNK_RUN))
     named = F.arrays_overlap(F.split("key", r"\."), F.array(*map(F.lit, LISTED_LABELS)))
-    told = url_cascade.add_listed(pages, keys.withColumn("listed", named), "host")
+    hosts = pages.groupBy(host.alias("key")).agg((junk * JUNK_ONE_IN >= F.count("*")).alias("junk"))
+    urls = pages.select("page_id", host, url_cascade.url_path(F.col("url")).alias("path"))
+    told = url_cascade.add_listed(urls, hosts.select("key", (F.col("junk") | named).alias("listed")), "host")
+    told = told.select("row.*", "listed")
     rule, verdict = url_cascade.longest_rule(F.col("host"), F.col("path"), RULES)
     method = F.when(F.col("listed"), "block").otherwise("allow")
     return told.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"))
@@ -223,13 +228,17 @@ ORACLES: dict[str, str] = {
           FROM scores
         )
         SELECT * FROM ranked WHERE rank <= 20""",
-    "op5_url_cascade": """
+    "op5_url_cascade": f"""
         WITH parts AS (
-          SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1) AS raw,
+          SELECT page_id, html, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1) AS raw,
                  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
         ), cut AS (
-          SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path
+          SELECT page_id, html, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path
           FROM parts
+        ), hosts AS (
+          SELECT host, count_if(coalesce(regexp_matches(html, '{JUNK_RUN}'), false)) * {JUNK_ONE_IN} >= count(*)
+                 OR list_has_any(string_split(host, '.'), {list(LISTED_LABELS)}) AS listed
+          FROM cut GROUP BY host
         ), rules(said, rule, rule_host, rule_path) AS (
           VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
                  ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
@@ -239,10 +248,8 @@ ORACLES: dict[str, str] = {
           FROM cut JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
           GROUP BY page_id
         )
-        SELECT page_id, host, path, rule, coalesce(said,
-               CASE WHEN list_has_any(string_split(host, '.'), ['ads-track', 'free-bets', 'cheap-pills'])
-                    THEN 'block' ELSE 'allow' END) AS verdict
-        FROM cut LEFT JOIN fits USING (page_id)""",
+        SELECT page_id, host, path, rule, coalesce(said, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+        FROM cut JOIN hosts USING (host) LEFT JOIN fits USING (page_id)""",
     "op9_line_chunks": line_chunks.SQL,
     "op10_embedding_links": f"""
         WITH RECURSIVE fine AS (

@@ -79,7 +79,10 @@ def listed(levels: list[Level], first: np.ndarray, second: np.ndarray) -> np.nda
 
 
 def _hashed(keys: DataFrame) -> DataFrame:
-    return keys.withColumns({"h1": F.xxhash64("key"), "h2": F.xxhash64("key", F.lit("second"))})
+    listed = F.coalesce("listed", F.lit(False)).alias("listed")
+    return keys.where("key IS NOT NULL").select(
+        "key", listed, F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit("second")).alias("h2")
+    )
 
 
 def _filter_of(keys: DataFrame, level: int, n_keys: int, rate: float) -> Level:
@@ -126,8 +129,12 @@ def build_cascade(universe: DataFrame) -> list[Level]:
     listed ones that pass level 2, and so on until none passes: then every key of the universe
     is told rightly. The sets are found by Spark; the driver sees filter words alone.
     """
-    spark = universe.sparkSession
-    keys = written(_hashed(universe), "universe")
+    return _cascade(written(_hashed(universe), "universe"))
+
+
+def _cascade(keys: DataFrame) -> list[Level]:
+    """Filters for stored keys with their hashes."""
+    spark = keys.sparkSession
     inside, outside = keys.where("listed"), keys.where("NOT listed")
     levels: list[Level] = []
     n_inside, n_outside = inside.count(), outside.count()
@@ -143,23 +150,27 @@ def build_cascade(universe: DataFrame) -> list[Level]:
 
 
 def add_listed(rows: DataFrame, universe: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """`rows` with a column `listed`: whether the row's key is listed in `universe` (key, listed).
+    """(row, listed): all columns of `rows` in a struct, and whether the row's key is listed in `universe` (key, listed).
 
     No join: the cascade goes to the tasks. Its size is estimated from the number of listed keys;
     beyond `broadcast_bytes` keys are split by hash into shards, each with a cascade of its own,
-    and the rows go through them one after the other. Null keys are not listed. Keys outside
-    the universe get an answer without a promise. Repeated rows stay; empty tables stay empty.
+    and the rows go through them one after the other. `universe` is evaluated once and stored. Null keys
+    are not listed, nor are keys whose `listed` is null. Keys outside the universe get an answer without a
+    promise. Repeated rows stay; empty tables stay empty. Keys may be of any length, only their hashes are
+    kept. Columns of `rows` may have any names, as they stay in the struct; further ones of `universe` are ignored.
     """
     spark = rows.sparkSession
-    n_listed, n_all = universe.where("listed").count(), universe.count()
+    keys = written(_hashed(universe), "universe")
+    n_all, n_listed = keys.agg(F.count("*"), F.count_if("listed")).head()
     n_words, _ = _bits(n_listed, min(0.5, FIRST_RATE * max(n_listed, 1) / max(n_all - n_listed, 1)))
     shards = max(1, -(-n_words * 16 // broadcast_bytes))
-    shard = lambda name: F.pmod(F.xxhash64(F.lit("shard"), name), F.lit(shards))
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "key"), F.lit(shards))
+    told = rows.select(F.struct("*").alias("row"), F.col(key).alias("key"))
     for k in range(shards):
-        told = _told(spark.sparkContext.broadcast(build_cascade(universe.where(shard(F.col("key")) == k))))
-        mine = F.col(key).isNotNull() & (shard(F.col(key)) == k)
-        answer = told(F.xxhash64(key), F.xxhash64(F.col(key), F.lit("second"))) & F.coalesce(mine, F.lit(False))
-        rows = rows.withColumn("listed", F.col("listed") | answer if k else answer)
+        tell = _told(spark.sparkContext.broadcast(_cascade(keys.where(shard == k))))
+        mine = F.coalesce(shard == k, F.lit(False)) & F.col("key").isNotNull()
+        answer = tell(F.xxhash64("key"), F.xxhash64("key", F.lit("second"))) & mine
+        told = told.withColumn("listed", F.col("listed") | answer if k else answer)
         if k + 1 < shards:
-            rows = written(rows, "told")
-    return rows
+            told = written(told, "told")
+    return told.select("row", "listed")

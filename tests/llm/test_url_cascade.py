@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slugline.llm import url_cascade as U
-from slugline.llm.queries import RULES
+from slugline.llm.queries import RULES, op5_url_cascade
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 600])
@@ -18,7 +18,7 @@ def test_exact_over_the_universe(spark, limit):
     rows = spark.createDataFrame([(k,) for k, _ in keys] + [(keys[0][0],), (None,)], "host string")
     told = U.add_listed(rows, universe, "host", limit).collect()
     want = dict(keys) | {None: False}
-    assert len(told) == 4002 and all(r.listed == want[r.host] for r in told)
+    assert len(told) == 4002 and all(r.listed == want[r.row.host] for r in told)
     levels = U.build_cascade(universe)
     assert len(levels) > 1
 
@@ -33,6 +33,33 @@ def test_no_keys_and_all_keys(spark):
     assert U.add_listed(rows.limit(0), empty, "host").count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 8])
+def test_clashing_names_null_marks_and_long_keys(spark, limit):
+    long = ["x" * 300_000 + end for end in "ab"]
+    universe = spark.createDataFrame(
+        [(long[0], True), (long[1], False), ("é", True), ("", False), ("n", None), (None, True)], "key string, listed boolean"
+    ).withColumns({c: F.lit("theirs") for c in ("h1", "h2", "row")})
+    names = ["host", "key", "listed", "h1", "h2", "row", "shard"]
+    rows = spark.createDataFrame([(h, *["mine"] * 6) for h in [*long, "é", "é", "", "n", None]], ", ".join(f"{n} string" for n in names))
+    told = U.add_listed(rows, universe, "host", limit).collect()
+    assert all(r.row.asDict() == {"host": r.row.host, **dict.fromkeys(names[1:], "mine")} for r in told)
+    assert sorted((str(r.row.host)[-1:], r.listed) for r in told) == sorted(
+        [("a", True), ("b", False), ("é", True), ("é", True), ("", False), ("n", False), ("e", False)]
+    )
+
+
+def test_hosts_are_listed_by_their_pages(spark, tmp_path):
+    """A host is blocked when a tenth of its pages holds junk, or for its name; rules come first."""
+    rows = [(k, f"http://junk.net/{k}", "a *** b" if k == 0 else "a ** b %") for k in range(10)]
+    rows += [(20 + k, f"http://fine.net/{k}", "$$$" if k == 0 else None) for k in range(11)]
+    rows += [(40, "http://x.free-bets.net/", None), (41, "http://free-bets.org/", "***"), (42, None, "***"), (43, "http://A.com/de/", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    told = {r.page_id: (r.rule, r.verdict) for r in op5_url_cascade(spark, str(tmp_path)).collect()}
+    assert len(told) == len(rows) and {told[k] for k in range(10)} == {(None, "block")}
+    assert {told[k] for k in range(20, 31)} == {(None, "allow")}
+    assert [told[k] for k in range(40, 44)] == [(None, "block"), ("org/", "allow"), (None, "block"), ("com/de/", "block")]
+
+
 def plain_parts(url):
     head, mark, rest = (url or "").partition("://")
     if not mark:
