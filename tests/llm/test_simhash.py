@@ -62,6 +62,37 @@ def test_components_of_long_chains_and_hubs(spark):
     assert set(found.values()) == {0, 100} and len(found) == 61 + 60
 
 
+def test_a_hub_that_adaptive_execution_splits(spark):
+    """One id with most links, over the limits from which a join's partition counts as skewed."""
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        links = spark.range(1, 40_000).selectExpr("CAST(7 AS LONG) AS a", "10 + id AS b")
+        chain = spark.range(50).selectExpr("40010 + id AS a", "40009 + id AS b")
+        apart = spark.createDataFrame([(90_000, 90_001), (90_001, 90_002)], "a long, b long")
+        found = connected_components(links.union(chain).union(apart))
+        told = {r.component: r["count"] for r in found.groupBy("component").count().collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert told == {7: 1 + 39_999 + 50, 90_000: 3}
+
+
+def test_pieces_of_a_long_text_have_the_same_shingles(monkeypatch):
+    text = " ".join(f"Word{k % 31}" for k in range(500))
+    for at_once in (1, 7, 499, 1 << 16):
+        monkeypatch.setattr(simhash, "HASHES_AT_ONCE", at_once)
+        assert {simhash.fingerprint_of(text, width) == plain_fingerprint(text, width) for width in (1, 3, 5)} == {True}
+
+
 def test_documents_of_every_kind(spark):
     text = " ".join(f"word{k}" for k in range(400))
     rows = [
