@@ -20,7 +20,7 @@ TREE_ROWS = 4096
 LEAF_ROWS = 64
 FANOUT = 16
 TREES_IN_GROUP = 8
-QUERIES_IN_GROUP = 2048
+QUERIES_IN_GROUP = 8192
 ROOT_BYTES = 64 << 20  # of root nodes that one broadcast may hold; beyond that queries meet them in parts
 ROWS_AT_ONCE = 256
 SLACK = 1e-6  # squared distances are whole numbers, so this covers rounding
