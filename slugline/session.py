@@ -9,12 +9,15 @@ from pyspark.sql import SparkSession
 # HotSpot does not compile methods above 8,000 bytes, so larger generated ones are split instead.
 # Senders repeat keys inside free values; the last one counts. The secret's padded keys are
 # literals of exactly one SHA-256 block, which explain() and the UI must not show.
+# Folders are listed by at most 64 tasks a level: with Spark's default of one task each, a table of many days
+# spends more on starting tasks than on listing.
 SESSION_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.redaction.string.regex": "0x[0-9A-Fa-f]{128}|X'[0-9A-Fa-f]{128}'",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
