@@ -5,17 +5,19 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 from slugline.functions.partitions import partition_value
 from slugline.schema import EVENT_COLUMNS, PARTITION_COLUMNS, QUARANTINE_SCHEMA, REQUIRED_COLUMNS
-from slugline.sources.files import delete_folder, exists, move_folder
+from slugline.sources.files import delete_folder, exists, make_folder, move_folder
 
 # The two tables one ingest run fills, as the first partition level under its root.
 TABLE_COLUMN = "table"
 EVENTS, QUARANTINE = "events", "quarantine"
 QUARANTINE_COLUMNS = tuple(name for name in QUARANTINE_SCHEMA.names if name not in EVENT_COLUMNS)
 BATCH_COLUMN = "ingest_batch"
+# Holds a folder for each batch number that was begun; readers skip names with an underscore.
+BEGUN = "_begun_batches"
 
 
 def table_root(base: str, prefix: str) -> str:
@@ -112,8 +114,9 @@ def write_deliveries(
 
     Both outcomes leave in one job, so the input is read, verified and parsed once and nothing is
     cached. With a `batch_id` the rows land in folders of that batch only, and replaying
-    the batch replaces exactly those folders. `mode="overwrite_partitions"` replaces the
-    partitions that get rows and no others.
+    the batch replaces exactly those folders; a number that was never begun has none, so its rows are
+    appended, and the driver need not replace folder by folder. `mode="overwrite_partitions"`
+    replaces the partitions that get rows and no others.
     """
     accepted = F.col("reject_reason").isNull()
     values = {name: partition_value(F.col(name)) for name in ("service", "api")}
@@ -127,11 +130,28 @@ def write_deliveries(
         mode, overwrite = "overwrite", "dynamic"
     if batch_id is not None:
         rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
-        keys, mode, overwrite = (*keys, BATCH_COLUMN), "overwrite", "dynamic"
+        keys = (*keys, BATCH_COLUMN)
+        if _begun_before(deliveries.sparkSession, root, batch_id):
+            mode, overwrite = "overwrite", "dynamic"
+        else:
+            mode = "append"
     writer = _writer(rows, mode, rows_per_file)
     writer.option("partitionOverwriteMode", overwrite).partitionBy(*keys).parquet(root)
 
 
+def _begun_before(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Whether a batch of this number may have left files below `root`; notes that it has begun now.
+
+    Tables without any note hold batches of unknown numbers.
+    """
+    notes = f"{root.rstrip('/')}/{BEGUN}"
+    note = f"{notes}/{batch_id}"
+    unknown = exists(spark, root) and not exists(spark, notes)
+    begun = unknown or exists(spark, note)
+    make_folder(spark, note)
+    return begun
+
+
 def events_root(root: str) -> str:
     """Where `write_deliveries` puts the events of `root`."""
     return f"{root}/{TABLE_COLUMN}={EVENTS}"

@@ -50,6 +50,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(located)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, located = _path(spark, path)
+    if not system.mkdirs(located):
+        raise OSError(f"cannot make {path}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     system, located = _path(spark, path)
     system.delete(located, True)

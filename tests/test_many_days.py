@@ -1,12 +1,26 @@
-"""Tables of many days: how they are listed."""
+"""Tables of many days: how they are listed, and how a stream's micro-batches reach them."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-from builders import day
+from builders import SECRET, day, deliveries, payload, signed
+from pyspark.sql import DataFrameWriter
 
+from slugline.operators import ingest as I
+from slugline.operators import sink as S
+from slugline.sources import events as E
 from slugline.sources.files import partition_files
 
 
+def batch_of(spark, n_days):
+    """An accepted and a rejected delivery on each of some days."""
+    sent = []
+    for number in range(n_days):
+        raw, digest, _ = signed(payload("edit", "DRAFT", "PUBLISH", id=f"c{number}", service="s", api="a"))
+        when = datetime.combine(day("06-01"), datetime.min.time()) + timedelta(days=number)
+        sent += [(raw, digest, when), (raw, None, when)]
+    return I.classify_deliveries(deliveries(spark, *sent), SECRET)
+
+
 def test_listing_many_days_takes_few_tasks(spark, tmp_path):
     for number in range(150):
         folder = tmp_path / f"service=s/api=a/dt={day('01-01') + timedelta(days=number)}"
@@ -22,3 +36,37 @@ def test_listing_many_days_takes_few_tasks(spark, tmp_path):
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
     assert listed.select("dt").distinct().count() == 150
+
+
+def test_only_a_batch_that_was_begun_before_is_replaced(spark, tmp_path, monkeypatch):
+    root, modes = tmp_path / "streamed", []
+    mode_of = DataFrameWriter.mode
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda writer, mode: modes.extend([mode] if mode else []) or mode_of(writer, mode))
+    batch = batch_of(spark, 3)
+
+    def stored():
+        events, rejected = S.events_root(str(root)), S.quarantine_root(str(root))
+        return E.scan_events(spark, events).count(), E.scan_quarantine(spark, rejected).count()
+
+    for batch_id in (0, 1, 1, 0):
+        S.write_deliveries(batch, str(root), batch_id=batch_id)
+    assert modes == ["append", "append", "overwrite", "overwrite"] and stored() == (6, 6)
+    # A table that was written without notes may hold any batch.
+    for note in (root / S.BEGUN).iterdir():
+        note.rmdir()
+    (root / S.BEGUN).rmdir()
+    S.write_deliveries(batch, str(root), batch_id=1)
+    S.write_deliveries(batch, str(root), batch_id=2)
+    assert modes[4:] == ["overwrite", "append"] and stored() == (9, 9)
+
+
+def test_what_an_interrupted_batch_left_is_replaced(spark, tmp_path):
+    root = str(tmp_path / "streamed")
+    batch = batch_of(spark, 3)
+    # It was begun, and some of its files had reached the table.
+    assert not S._begun_before(spark, root, 5)
+    part = batch.where("day(dt) = 1").withColumn(S.BATCH_COLUMN, S.F.lit(5)).withColumn("table", S.F.lit("events"))
+    part.where("reject_reason IS NULL").write.mode("append").partitionBy("table", "service", "api", "dt", S.BATCH_COLUMN).parquet(root)
+    assert E.scan_events(spark, S.events_root(root)).count() == 1
+    S.write_deliveries(batch, root, batch_id=5)
+    assert E.scan_events(spark, S.events_root(root)).count() == 3
