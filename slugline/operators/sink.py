@@ -115,8 +115,8 @@ def write_deliveries(
     Both outcomes leave in one job, so the input is read, verified and parsed once and nothing is
     cached. With a `batch_id` the rows land in folders of that batch only, and replaying
     the batch replaces exactly those folders; a number that was never begun has none, so its rows are
-    appended, and the driver need not replace folder by folder. `mode="overwrite_partitions"`
-    replaces the partitions that get rows and no others.
+    appended, and the driver need not replace folder by folder. Appends to one root must not
+    overlap. `mode="overwrite_partitions"` replaces the partitions that get rows and no others.
     """
     accepted = F.col("reject_reason").isNull()
     values = {name: partition_value(F.col(name)) for name in ("service", "api")}
@@ -132,6 +132,8 @@ def write_deliveries(
         rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id))
         keys = (*keys, BATCH_COLUMN)
         if _begun_before(deliveries.sparkSession, root, batch_id):
+            # What an interrupted append had ready is not yet in the table; the next append would bring it in.
+            delete_folder(deliveries.sparkSession, f"{root.rstrip('/')}/_temporary")
             mode, overwrite = "overwrite", "dynamic"
         else:
             mode = "append"

@@ -66,7 +66,11 @@ def test_what_an_interrupted_batch_left_is_replaced(spark, tmp_path):
     # It was begun, and some of its files had reached the table.
     assert not S._begun_before(spark, root, 5)
     part = batch.where("day(dt) = 1").withColumn(S.BATCH_COLUMN, S.F.lit(5)).withColumn("table", S.F.lit("events"))
-    part.where("reject_reason IS NULL").write.mode("append").partitionBy("table", "service", "api", "dt", S.BATCH_COLUMN).parquet(root)
+    for left in (root, f"{root}/_temporary/0/task_0"):
+        part.where("reject_reason IS NULL").write.mode("append").partitionBy("table", "service", "api", "dt", S.BATCH_COLUMN).parquet(left)
     assert E.scan_events(spark, S.events_root(root)).count() == 1
     S.write_deliveries(batch, root, batch_id=5)
     assert E.scan_events(spark, S.events_root(root)).count() == 3
+    # Nor does the next batch bring in files that were ready but not yet in the table.
+    S.write_deliveries(batch, root, batch_id=6)
+    assert E.scan_events(spark, S.events_root(root)).count() == 6
