@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import unicodedata
+import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -16,64 +18,93 @@ from slugline.llm.common import written
 END_ID = 1
 GROUP_ROWS = 16384
 CACHED_WORDS = 400_000
-WORDS_AT_ONCE = 1 << 16
+CHARS_AT_ONCE = 1 << 20
+BLANKS = re.compile("[ \t\n\r]")
+
+# Texts of these signs alone stay as they are when normalised, but for case, and hold no special token (`<`).
+# There the tokenizer's own pattern cuts units out of the lower-cased text, and a unit is the model's alone.
+LETTERS, MARKS = "a-zß-öø-ÿ", r"!-/:;=-@\[-`{-~"
+PLAIN = re.compile(rf"[ \t\n\r0-9A-ZÀ-ÖØ-Þ{LETTERS}{MARKS}]*")
+UNITS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{MARKS}]+")
+# The model reads bytes as signs: these stand for themselves, the others for those from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = dict(zip([b for b in range(256) if b not in SHOWN], range(256, 512), strict=False))
+
+
+class _UnitIds(dict[str, bytes]):
+    """Ids by unit, asked of the model when a unit is first looked up."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, unit: str) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        signs = unit if unit.isascii() else unit.encode().decode("latin-1").translate(BYTE_SIGNS)
+        ids = [token.id for token in self.model.tokenize(signs)]
+        self[unit] = packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed
 
 
 class WordTokens:
-    """Ids of texts by words: the tokenizer never looks across a blank, so a word's ids are reused.
+    """Ids of texts by units, or by words where a text holds other signs than `PLAIN` ones.
 
-    The cache is emptied when it holds `CACHED_WORDS` words, which bounds its memory.
+    The tokenizer never looks across a blank, so a unit's or a word's ids are reused. A cache is
+    emptied when it holds `CACHED_WORDS` entries, which bounds its memory.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.model = self.tokenizer.model
+        self.units = _UnitIds(self.tokenizer.model)
         self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the whole text."""
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(self._some(words[k : k + WORDS_AT_ONCE]) for k in range(0, len(words), WORDS_AT_ONCE))
-
-    def _some(self, words: list[str]) -> bytes:
+        if len(text) <= CHARS_AT_ONCE:
+            return self._some(text)
+        parts, start = [], 0
+        while start < len(text):
+            blank = BLANKS.search(text, start + CHARS_AT_ONCE)
+            end = blank.start() if blank else len(text)
+            parts.append(self._some(text[start:end]))
+            start = end
+        return b"".join(parts)
+
+    def _some(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text):
+            return self._plain(text)
         known = self.known
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         found = list(map(known.get, words))
-        missing = [k for k, ids in enumerate(found) if ids is None] if None in found else []
+        missing = [k for k, ids in enumerate(found) if ids is None]
         if missing:
             fresh = list({words[k] for k in missing})
             if len(known) + len(fresh) > CACHED_WORDS:
                 known.clear()
-                self.stems.clear()
-            told = dict(zip(fresh, self._fresh(fresh), strict=True))
+            told = self._fresh(fresh)
             known.update(told)
             for k in missing:
                 found[k] = told[words[k]]
         return b"".join(found)
 
-    def _fresh(self, words: list[str]) -> Iterator[bytes]:
-        """A word of letters and one mark after it is two units to the tokenizer, and case is none."""
-        stems, parts = self.stems, []
-        for word in words:
-            stem, mark = (word[:-1], word[-1]) if word[-1:] in (",", ".") else (word, "")
-            if stem.isascii() and stem.isalpha():
-                stem = stem.lower()
-            elif mark and not unicodedata.normalize("NFC", stem).lower().isalpha():
-                stem, mark = word, ""  # a letter may turn into one with an accent of its own
-            parts.append((stem, mark))
-        unknown = {part for pair in parts for part in pair if part not in stems}
-        rest = []
-        for stem in unknown:
-            if stem.isascii() and stem.isalpha():
-                # Normalised and one unit already, so it is the model's alone.
-                stems[stem] = np.array([t.id for t in self.model.tokenize(stem)], "<u4").tobytes()
-            else:
-                rest.append(stem)
-        for stem, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            stems[stem] = np.array(encoded.ids, "<u4").tobytes()
-        return (stems[stem] + stems[mark] for stem, mark in parts)
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.units.__getitem__, UNITS.findall(text.lower())))
+
+    def _fresh(self, words: list[str]) -> dict[str, bytes]:
+        told = {word: self._plain(word) for word in words if PLAIN.fullmatch(word)}
+        rest = [word for word in words if word not in told]
+        for word, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            told[word] = np.array(encoded.ids, "<u4").tobytes()
+        return told
+
+
+@lru_cache(maxsize=1)
+def word_tokens(tokenizer_file: str) -> WordTokens:
+    """One for all tasks of a worker process, so that later ones find the units of earlier ones."""
+    return WordTokens(tokenizer_file)
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFrame:
@@ -90,7 +121,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int) -> DataFra
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = WordTokens(tokenizer_file)
+        tokens = word_tokens(tokenizer_file)
         for batch in batches:
             owner, rows = [], []
             for k, text in enumerate(batch.column(1)):

@@ -41,6 +41,32 @@ def test_word_by_word_gives_the_tokenizer_s_ids():
         assert np.frombuffer(tokens.ids(text or ""), "<u4").tolist() == want
 
 
+def test_plain_texts_are_the_model_s_alone(monkeypatch):
+    """Letters with accents, digits and runs of marks: each unit is asked for once, whatever stands around it."""
+
+    class NoWords:
+        def encode_batch_fast(self, words, add_special_tokens):
+            assert not list(words)
+            return []
+
+    source, whole, tokens = random.Random(5), Tokenizer.from_file(FILE), packing.WordTokens(FILE)
+    monkeypatch.setattr(tokens, "tokenizer", NoWords())
+    signs = [c for c in map(chr, range(32, 256)) if packing.PLAIN.fullmatch(c)]
+    assert set("AÀÖØÞßàöøÿz09 !'|~") <= set(signs) and not set("<ªµº×÷\xa0") & set(signs)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    for size in (1, 7, 60, 2000):
+        text = "".join(source.choices([*signs, *"'' \t\n", "'s", "'LL", "Élan!!", "straße,", "l'été"], k=size))
+        assert np.frombuffer(tokens.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert len(tokens.units) <= 50
+
+
+def test_long_texts_are_cut_at_blanks(monkeypatch):
+    whole, tokens = Tokenizer.from_file(FILE), packing.WordTokens(FILE)
+    monkeypatch.setattr(packing, "CHARS_AT_ONCE", 16)
+    for text in texts()[3:]:
+        assert np.frombuffer(tokens.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_every_id_lies_in_one_piece(spark):
     rows = [*enumerate(texts()), (3, texts()[3]), (None, "no id"), (None, "no id")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("group", F.lit("x"))
