@@ -60,7 +60,7 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample.content_events(spark, sf_dir).drop("event_id")
+    return sample.content_events(spark, sf_dir, spread=spark.sparkContext.defaultParallelism).drop("event_id")
 
 
 def event_table(spark: SparkSession, sf_dir: str) -> str:
@@ -74,11 +74,11 @@ def _landed_webhooks(spark: SparkSession, sf_dir: str) -> str:
         F.col("signature").isNotNull(),
         F.create_map(F.lit("Content-Type"), F.lit("application/json"), name, F.col("signature")),
     ).otherwise(F.create_map(F.lit("Content-Type"), F.lit("application/json")))
-    landed = sample.webhooks(spark, sf_dir).select("event_id", "body", headers.alias("headers"), "received_at")
     # As many files as the session has cores, as receivers that write side by side would leave. A stream takes four at
-    # a time; row groups of 8 MB let all cores share them.
-    spread = landed.repartition(spark.sparkContext.defaultParallelism, "event_id")
-    return _once(spark, sf_dir, "landed", spread.write.option("parquet.block.size", 8 * 1024 * 1024).parquet)
+    # a time; row groups of 8 MB let all cores share them. The supplied rows are spread, not the larger bodies.
+    webhooks = sample.webhooks(spark, sf_dir, spread=spark.sparkContext.defaultParallelism)
+    landed = webhooks.select("event_id", "body", headers.alias("headers"), "received_at")
+    return _once(spark, sf_dir, "landed", landed.write.option("parquet.block.size", 8 * 1024 * 1024).parquet)
 
 
 LANDED_SCHEMA = T.StructType(

@@ -36,13 +36,20 @@ def _earlier(factor: int, modulus: int) -> str:
     return f"received_at - make_dt_interval(0, 0, 0, event_id * {factor} % {modulus})"
 
 
-def content_events(spark: SparkSession, sf_dir: str, *, with_payload: bool = True) -> DataFrame:
+def content_events(
+    spark: SparkSession, sf_dir: str, *, with_payload: bool = True, spread: int | None = None
+) -> DataFrame:
     """Content events, with `event_id` kept for checks; `raw_payload` is the body of 5.4.
 
+    With `spread`, the supplied rows are dealt by `event_id` to so many tasks first. A row group of the supplied
+    file goes to one task, and a file of few would leave the making of all bodies to few tasks.
+
     Written as SQL text: the sample is set-up for every query, and one expression string costs
     one call into the JVM where a tree of columns costs one per node.
     """
     supplied = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if spread is not None:
+        supplied = supplied.repartition(spread, "event_id")
     events = (
         supplied.selectExpr(
             "event_id",
@@ -133,8 +140,11 @@ def _payload_text() -> str:
 NO_SIGNATURE, WRONG_KEY, BAD_UTF8, CUT_SHORT, NUMERIC_SERVICE, SERVICE_TWICE = 29, 19, 31, 23, 37, 41
 
 
-def webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as signed webhook deliveries, some of them faulty; `event_id` is kept."""
+def webhooks(spark: SparkSession, sf_dir: str, *, spread: int | None = None) -> DataFrame:
+    """The events as signed webhook deliveries, some of them faulty; `event_id` is kept.
+
+    `spread` is that of `content_events`.
+    """
     damaged = f"""CASE
         WHEN event_id % {NO_SIGNATURE} = 0 OR event_id % {WRONG_KEY} = 0 THEN CAST(raw_payload AS BINARY)
         WHEN event_id % {BAD_UTF8} = 0 THEN concat(CAST(raw_payload AS BINARY), X'FF')
@@ -152,7 +162,7 @@ def webhooks(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN event_id % 3 = 1 THEN base64(unhex(digest))
         ELSE concat('sha256=', digest) END"""
     return (
-        content_events(spark, sf_dir)
+        content_events(spark, sf_dir, spread=spread)
         .selectExpr("event_id", f"{damaged} AS body", "received_at")
         .withColumn("digest", digest.otherwise(hmac_sha256_hex(F.col("body"), SECRET)))
         .selectExpr("event_id", "body", f"{signature} AS signature", "received_at")

@@ -3,8 +3,9 @@
 from datetime import datetime, timedelta
 
 from builders import SECRET, day, deliveries, payload, signed
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameWriter, functions as F
 
+from catalogue import queries, sample
 from slugline.operators import ingest as I
 from slugline.operators import sink as S
 from slugline.sources import events as E
@@ -74,3 +75,20 @@ def test_what_an_interrupted_batch_left_is_replaced(spark, tmp_path):
     # Nor does the next batch bring in files that were ready but not yet in the table.
     S.write_deliveries(batch, root, batch_id=6)
     assert E.scan_events(spark, S.events_root(root)).count() == 6
+
+
+def test_bodies_of_one_row_group_are_made_by_all_tasks(spark, tmp_path):
+    twice = [*range(400), 7, 7, None]
+    supplied = spark.createDataFrame([(n,) for n in twice], "event_id long").select(
+        "event_id", (F.col("event_id") % 40).alias("user_id"), F.lit(datetime(2024, 1, 5)).alias("ts"), F.lit("{}").alias("props")
+    )
+    supplied.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    tasks = spark.sparkContext.defaultParallelism
+    for spread, one in (
+        (queries._events(spark, str(tmp_path)).select("raw_payload"), sample.content_events(spark, str(tmp_path)).select("raw_payload")),
+        (sample.webhooks(spark, str(tmp_path), spread=tasks), sample.webhooks(spark, str(tmp_path))),
+    ):
+        assert one.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() == tasks
+        held = spread.rdd.glom().map(len).collect()
+        assert sum(held) == len(twice) and min(held) > 0
+        assert sorted(map(repr, spread.collect())) == sorted(map(repr, one.collect()))
