@@ -63,7 +63,8 @@ def compact_events(spark: SparkSession, source: str, target: str, before: date |
     if not listed:
         return 0
     days = sorted({row["dt"] for row in listed})
-    wanted = spark.createDataFrame(listed, "service string, api string, dt date")
+    # Spark does not know how few these are, and would shuffle all events to meet them.
+    wanted = F.broadcast(spark.createDataFrame(listed, "service string, api string, dt date"))
     events = scan_events(spark, source).where(F.col("dt").isin(days))
     rows = events.join(wanted, [*PARTITION_COLUMNS], "left_semi").select(*events.columns)
     spread_rows(rows.withColumns(stored_values()), *PARTITION_COLUMNS).write.mode("overwrite").option(

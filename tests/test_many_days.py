@@ -2,11 +2,12 @@
 
 from datetime import datetime, timedelta
 
-from builders import SECRET, day, deliveries, payload, signed
+from builders import SECRET, day, deliveries, events, payload, rows, signed
 from pyspark.sql import DataFrameWriter, functions as F
 
 from catalogue import queries, sample
 from slugline.operators import ingest as I
+from slugline.operators import maintenance as K
 from slugline.operators import sink as S
 from slugline.sources import events as E
 from slugline.sources.files import partition_files
@@ -77,6 +78,21 @@ def test_what_an_interrupted_batch_left_is_replaced(spark, tmp_path):
     assert E.scan_events(spark, S.events_root(root)).count() == 6
 
 
+def test_the_copy_shuffles_its_events_once(spark, tmp_path, monkeypatch):
+    source, target, laid_out = str(tmp_path / "events"), str(tmp_path / "copy"), []
+    table = events(spark, *[{"service": "s", "api": api, "dt": day(d)} for api in ("a", None) for d in ("06-28", "06-29")])
+    S.write_events(table, source)
+    spread_rows = K.spread_rows
+    monkeypatch.setattr(K, "spread_rows", lambda given, *keys: laid_out.append(given) or spread_rows(given, *keys))
+    assert K.compact_events(spark, source, target) == 4
+    (given,) = laid_out
+    plan = given._sc._jvm.PythonSQLUtils.explainString(given._jdf.queryExecution(), "simple")
+    # What is due meets the events in the tasks that read them; the write's rebalance is the only shuffle.
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert sorted(map(repr, rows(E.scan_events(spark, target)))) == sorted(map(repr, rows(E.scan_events(spark, source))))
+    assert K.compact_events(spark, source, target) == 0
+
+
 def test_bodies_of_one_row_group_are_made_by_all_tasks(spark, tmp_path):
     twice = [*range(400), 7, 7, None]
     supplied = spark.createDataFrame([(n,) for n in twice], "event_id long").select(
