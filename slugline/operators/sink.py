@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from slugline.functions.partitions import partition_value
+from slugline.operators.shards import MOST_ROWS, write_shards
 from slugline.schema import EVENT_COLUMNS, PARTITION_COLUMNS, QUARANTINE_SCHEMA, REQUIRED_COLUMNS
-from slugline.sources.files import delete_folder, exists, make_folder, move_folder
+from slugline.sources.files import delete_folder, exists, local_path, make_folder, move_folder
 
 # The two tables one ingest run fills, as the first partition level under its root.
 TABLE_COLUMN = "table"
@@ -44,11 +45,17 @@ def spread_rows(rows: DataFrame, *keys: str) -> DataFrame:
     return balanced.sortWithinPartitions(*keys, "event_kind", "content_id")
 
 
-def _writer(rows: DataFrame, mode: str, rows_per_file: int | None) -> DataFrameWriter:
-    writer = rows.write.mode(mode)
+def _write(
+    rows: DataFrame, root: str, mode: str, keys: tuple[str, ...], rows_per_file: int | None, overwrite: str = "static"
+) -> None:
+    """Write rows laid out by `spread_rows`; small files appended to a local folder are written as shards."""
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", overwrite)
     if rows_per_file is not None:
+        folder = local_path(rows.sparkSession, root) if mode == "append" and 0 < rows_per_file <= MOST_ROWS else None
+        if folder is not None:
+            return write_shards(rows, keys, folder, rows_per_file)
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    return writer
+    writer.partitionBy(*keys).parquet(root)
 
 
 def stored_values() -> dict[str, Column]:
@@ -72,8 +79,7 @@ def write_events(
     rows = spread_rows(rows.observe(counted, F.count(F.lit(1)).alias("events")), *PARTITION_COLUMNS)
     replaces = mode == "overwrite"
     target = f"{root.rstrip('/')}-{uuid.uuid4().hex}" if replaces else root
-    writer = _writer(rows, "errorifexists" if replaces else mode, rows_per_file)
-    writer.partitionBy(*PARTITION_COLUMNS).parquet(target)
+    _write(rows, target, "append" if replaces else mode, PARTITION_COLUMNS, rows_per_file)
     n_events = _observed(counted, "events")
     if replaces:
         _take_place(events, target, root, n_events > 0)
@@ -137,8 +143,7 @@ def write_deliveries(
             mode, overwrite = "overwrite", "dynamic"
         else:
             mode = "append"
-    writer = _writer(rows, mode, rows_per_file)
-    writer.option("partitionOverwriteMode", overwrite).partitionBy(*keys).parquet(root)
+    _write(rows, root, mode, keys, rows_per_file, overwrite)
 
 
 def _begun_before(spark: SparkSession, root: str, batch_id: int) -> bool:

@@ -45,6 +45,14 @@ def _path(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     return located.getFileSystem(spark._jsc.hadoopConfiguration()), located
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path without its scheme where it lies in a local folder, else None."""
+    system, located = _path(spark, path)
+    if system.getUri().getScheme() != "file":
+        return None
+    return system.makeQualified(located).toUri().getPath()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, located = _path(spark, path)
     return system.exists(located)
